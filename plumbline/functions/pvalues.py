@@ -6,6 +6,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -48,12 +49,12 @@ def t_tail(t: float, dof: float) -> float:
     return regularised_beta(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([t_tail(a, b) for a, b in zip(t, dof)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _normal_two_sided(z: pd.Series) -> pd.Series:
     return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)))
 
