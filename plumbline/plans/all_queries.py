@@ -1,5 +1,5 @@
 """Imports every query module, which registers its queries."""
-from plumbline.plans import audit_queries, statistics_queries  # noqa: F401
+from plumbline.plans import audit_queries, feature_queries, statistics_queries  # noqa: F401
 from plumbline.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
