@@ -46,6 +46,22 @@ class Moments:
                 sum((self.xy[k] for k in keys), np.zeros(size)), sum((self.yy[k] for k in keys), 0.0))
 
 
+def design(x: np.ndarray, powers: Sequence[tuple[int, ...]] | None) -> np.ndarray:
+    """``[1, terms…]`` for a block of rows; the terms are the inputs or their monomials."""
+    one = np.ones((len(x), 1))
+    if powers is None:
+        return np.concatenate([one, x], axis=1)
+    pw = [np.ones_like(x)]
+    for _ in range(max(max(p) for p in powers)):
+        pw.append(pw[-1] * x)
+    out = np.empty((len(x), len(powers) + 1))
+    out[:, 0] = 1.0
+    for j, p in enumerate(powers):
+        used = [pw[e][:, v] for v, e in enumerate(p) if e]
+        out[:, j + 1] = np.multiply.reduce(used) if used else 1.0
+    return out
+
+
 def moments(df: DataFrame, inputs: Sequence[str], targets: Sequence[str], powers: Sequence[tuple[int, ...]] | None = None,
             group: str | None = None) -> Moments:
     """One pass over ``df``: products of monomials of ``inputs`` (or of the inputs) with the targets.
@@ -68,22 +84,7 @@ def moments(df: DataFrame, inputs: Sequence[str], targets: Sequence[str], powers
             seen = ~np.isnan(y)
             # rows with the same targets present share one product
             pattern = seen @ (1 << np.arange(m))
-            if chosen is None:
-                full = np.concatenate([np.ones((len(g), 1)), x, np.where(seen, y, 0.0)], axis=1)
-            else:
-                top = max(max(p) for p in chosen)
-                pw = [np.ones_like(x)]
-                for _ in range(top):
-                    pw.append(pw[-1] * x)
-                full = np.empty((len(g), size + m))
-                full[:, 0] = 1.0
-                for j, p in enumerate(chosen):
-                    col = np.ones(len(g))
-                    for v, e in enumerate(p):
-                        if e:
-                            col = col * pw[e][:, v]
-                    full[:, j + 1] = col
-                full[:, size:] = np.where(seen, y, 0.0)
+            full = np.concatenate([design(x, chosen), np.where(seen, y, 0.0)], axis=1)
             for gv in np.unique(g):
                 for pt in np.unique(pattern[g == gv]):
                     rows = full[(g == gv) & (pattern == pt)]
@@ -147,13 +148,17 @@ def sse_of(coef: np.ndarray, xx: np.ndarray, xy: np.ndarray, yy: float) -> float
     return float(yy - 2 * coef @ xy + coef @ xx @ coef)
 
 
-def polynomial(columns: Sequence[Column], powers: Sequence[tuple[int, ...]],
-               coef: Sequence[float] | Sequence[Column]) -> Column:
+def number(v: float) -> str:
+    """A double literal in SQL text, exact."""
+    return f"{float(v)!r}D"
+
+
+def polynomial(columns: Sequence[str], powers: Sequence[tuple[int, ...]], coef: Sequence[float] | Sequence[str]) -> Column:
     """Nested evaluation of ``coef[0] + Σ coef[i]·monomial`` as one expression, without powers.
 
-    Coefficients are numbers, or columns when they differ from row to row.
+    Coefficients are numbers, or SQL expressions when they differ from row to row.
     """
-    def nest(terms: Mapping[tuple[int, ...], Column], cols: Sequence[Column]) -> Column:
+    def nest(terms: Mapping[tuple[int, ...], str], cols: Sequence[str]) -> str:
         if not cols:
             return next(iter(terms.values()))
         by_power: dict[int, dict] = {}
@@ -165,19 +170,50 @@ def polynomial(columns: Sequence[Column], powers: Sequence[tuple[int, ...]],
             if out is None:
                 out = inner
             else:
-                out = out * cols[0]
-                out = out if inner is None else out + inner
+                out = f"{out} * {cols[0]}" if inner is None else f"({out} * {cols[0]} + {inner})"
         return out
 
-    values = [c if isinstance(c, Column) else F.lit(float(c)) for c in coef]
+    values = [c if isinstance(c, str) else number(c) for c in coef]
     terms = {tuple([0] * len(columns)): values[0]}
     terms.update({tuple(p): c for p, c in zip(powers, values[1:])})
-    return nest(terms, list(columns))
+    return F.expr(nest(terms, [f"`{c}`" for c in columns]))
 
 
-def linear(columns: Sequence[Column], coef: Sequence[float]) -> Column:
-    out = F.lit(float(coef[0]))
-    for c, w in zip(columns, coef[1:]):
-        if w:
-            out = out + c * F.lit(float(w))
-    return out
+def linear_errors(df: DataFrame, inputs: Sequence[str], target: str, weights: Mapping[str, Mapping[int, np.ndarray]],
+                  powers: Sequence[tuple[int, ...]] | None = None, group: str | None = None) -> DataFrame:
+    """Errors of many linear candidates in one pass: rows ``(candidate, fold, n, mae, sse, r2)``.
+
+    ``weights[candidate][fold]`` holds the coefficients used for the rows of that fold. Each task sums
+    errors per candidate and fold, so a few rows per task are shuffled.
+    """
+    inputs, names = list(inputs), list(weights)
+    chosen = None if powers is None else [tuple(p) for p in powers]
+    by_fold = {f: np.stack([weights[c][f] for c in names], axis=1) for f in weights[names[0]]}
+    d = len(inputs)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc: dict[int, np.ndarray] = {}
+        for batch in batches:
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(d + 2)]
+            x, y, g = np.stack(cols[:d], axis=1), cols[d], cols[d + 1]
+            for f in np.unique(g):
+                on = g == f
+                err = y[on][:, None] - design(x[on], chosen) @ by_fold[int(f)]
+                sums = np.stack([np.abs(err).sum(0), (err * err).sum(0)])
+                rest = np.array([[on.sum(), y[on].sum(), (y[on] ** 2).sum()]]).T * np.ones((1, len(names)))
+                acc[int(f)] = acc.get(int(f), 0.0) + np.concatenate([sums, rest])
+        for f, s in acc.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array(np.full(len(names), f), pa.int64()), *[pa.array(v, pa.float64()) for v in s]],
+                names=["candidate", "fold", "sae", "sse", "n", "sy", "syy"])
+
+    base = df.dropna(subset=[*inputs, target]).select(
+        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)],
+        F.col(target).cast("double").alias("y"),
+        (F.lit(0) if group is None else F.col(group)).cast("long").alias("g"))
+    total = base.mapInArrow(partial, "candidate string, fold long, sae double, sse double, n double, sy double, "
+                                     "syy double").groupBy("candidate", "fold").agg(
+        *[F.sum(c).alias(c) for c in ("sae", "sse", "n", "sy", "syy")])
+    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    return total.select("candidate", "fold", F.col("n").cast("long").alias("n"), (F.col("sae") / F.col("n")).alias("mae"),
+                        "sse", (1 - F.col("sse") / F.nullif(sst, F.lit(0.0))).alias("r2"))

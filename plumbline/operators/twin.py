@@ -10,13 +10,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions import rowwise as rw
 from plumbline.operators.dedup import is_duplicate
 from plumbline.operators.features import assert_valid_only, valid_rows
-from plumbline.operators.gram import Moments, exponents, moments, polynomial, solve_ridge
+from plumbline.operators.gram import Moments, design, exponents, moments, polynomial, solve_ridge
 from plumbline.operators.models import fit_scale, scaled
 from plumbline.operators.ordered import quantile_values
 from plumbline.roles import Roles
@@ -35,11 +37,21 @@ class Twin:
     def sensors(self) -> list[str]:
         return list(self.coef)
 
-    def inputs(self) -> list[Column]:
-        return [scaled(c, self.scale[c]) for c in self.settings]
+    def standardised(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        """The scaled settings as columns of their own, so that no term repeats the scaling."""
+        names = [f"_z_{c}" for c in self.settings]
+        # never NULL, so that the generated arithmetic needs no NULL checks; `known` restores them
+        return df.withColumns({n: F.coalesce(scaled(c, self.scale[c]), F.lit(0.0))
+                               for n, c in zip(names, self.settings)}), names
 
-    def expected(self, sensor: str) -> Column:
-        return polynomial(self.inputs(), self.powers, self.coef[sensor])
+    def known(self, value: Column) -> Column:
+        return F.when(~rw.any_missing(self.settings), value)
+
+    def expect(self, df: DataFrame, prefix: str = "expected_") -> DataFrame:
+        """Add each sensor's expected value."""
+        ready, z = self.standardised(df)
+        return ready.withColumns({f"{prefix}{s}": self.known(polynomial(z, self.powers, w))
+                                  for s, w in self.coef.items()}).drop(*z)
 
 
 @dataclass(frozen=True)
@@ -57,6 +69,9 @@ class LineTwin:
         slope, intercept = self.lines[sensor]
         return F.lit(slope) * F.expr(self.x) + F.lit(intercept)
 
+    def expect(self, df: DataFrame, prefix: str = "expected_") -> DataFrame:
+        return df.withColumns({f"{prefix}{s}": self.expected(s) for s in self.lines})
+
 
 def twin_moments(df_valid: DataFrame, roles: Roles, degree: int, fold: str | None = None,
                  targets: Sequence[str] | None = None) -> tuple[Moments, dict[str, tuple[float, float]]]:
@@ -98,10 +113,14 @@ def residual_name(sensor: str) -> str:
 
 def with_residuals(df: DataFrame, twin: Twin | LineTwin) -> DataFrame:
     """Add actual minus expected per sensor (NULL where missing), the largest size and its sensor."""
-    names = [residual_name(s) for s in twin.sensors]
-    out = df.withColumns({n: F.col(s) - twin.expected(s) for n, s in zip(names, twin.sensors)})
-    return out.withColumns({"max_abs_residual": rw.max_abs(names),
-                            "suspect_sensor": rw.arg_max_abs(names, twin.sensors)})
+    return _residuals(twin.expect(df, "_expected_"), twin.sensors, "_expected_").drop(
+        *[f"_expected_{s}" for s in twin.sensors])
+
+
+def _residuals(df: DataFrame, sensors: Sequence[str], prefix: str) -> DataFrame:
+    names = [residual_name(s) for s in sensors]
+    out = df.withColumns({n: F.col(s) - F.col(f"{prefix}{s}") for n, s in zip(names, sensors)})
+    return out.withColumns({"max_abs_residual": rw.max_abs(names), "suspect_sensor": rw.arg_max_abs(names, sensors)})
 
 
 def derive_threshold(df_valid: DataFrame, twin: Twin | LineTwin, k: float = 7.0, floor: float = 1e-6,
@@ -111,7 +130,8 @@ def derive_threshold(df_valid: DataFrame, twin: Twin | LineTwin, k: float = 7.0,
     The robust deviation is 1.4826 times the median absolute residual. With bounded or Gaussian noise
     ``k`` of 6 to 8 sits above every Valid residual and well below a spike.
     """
-    size = df_valid.select(*[F.abs(F.col(s) - twin.expected(s)).alias(s) for s in twin.sensors])
+    size = twin.expect(df_valid, "_expected_").select(
+        *[F.abs(F.col(s) - F.col(f"_expected_{s}")).alias(s) for s in twin.sensors])
     med = quantile_values(size, twin.sensors, {"m": 0.5}, accuracy)
     if not med:
         raise ValueError("no Valid residuals to derive a threshold from")
@@ -178,21 +198,25 @@ def fold_twins(df: DataFrame, fold: str, roles: Roles = Roles(), degree: int = 4
 def with_fold_expectations(df: DataFrame, twins: Mapping[int, Twin], fold: str, prefix: str = "expected_") -> DataFrame:
     """Add each target's expected value from the twin that did not see the row's fold.
 
-    The folds' coefficients travel as a table with one row per fold.
+    One pass for all folds: Arrow batches carry the scaled settings and the fold to numpy and bring
+    the expectations back; all other columns stay where they are.
     """
     full = twins[None]
-    targets = full.sensors
-    spark = df.sparkSession
-    rows = [(int(g), *[[float(v) for v in t.coef[s]] for s in targets]) for g, t in twins.items() if g is not None]
-    schema = "_g int, " + ", ".join(f"_w{i} array<double>" for i in range(len(targets)))
-    coefs = spark.createDataFrame(rows, schema)
-    joined = df.join(F.broadcast(coefs), F.col(fold) == F.col("_g"), "left")
-    z = full.inputs()
-    out = joined.withColumns({
-        f"{prefix}{s}": polynomial(z, full.powers, [
-            F.get(F.col(f"_w{i}"), F.lit(j)) for j in range(len(full.powers) + 1)])
-        for i, s in enumerate(targets)})
-    return out.drop("_g", *[f"_w{i}" for i in range(len(targets))])
+    targets, powers = full.sensors, list(full.powers)
+    weights = {int(g): np.stack([t.coef[s] for s in targets], axis=1) for g, t in twins.items() if g is not None}
+
+    @F.pandas_udf(T.StructType([T.StructField(s, T.DoubleType()) for s in targets]))
+    def expected(z: pd.DataFrame, g: pd.Series) -> pd.DataFrame:
+        terms = design(z.to_numpy(dtype=float), powers)
+        out = np.full((len(g), len(targets)), np.nan)
+        for f, w in weights.items():
+            on = (g == f).to_numpy()
+            out[on] = terms[on] @ w
+        return pd.DataFrame(out, columns=targets)
+
+    ready, z = full.standardised(df)
+    scored = ready.withColumn("_e", expected(F.struct(*z), F.col(fold)))
+    return scored.withColumns({f"{prefix}{s}": full.known(F.col("_e")[s]) for s in targets}).drop("_e", *z)
 
 
 def oof_verdict(df: DataFrame, fold: str, threshold: float | None = None, roles: Roles = Roles(), degree: int = 4,
@@ -206,10 +230,7 @@ def oof_verdict(df: DataFrame, fold: str, threshold: float | None = None, roles:
     if threshold is None:
         threshold = derive_threshold(valid_rows(df, roles), twins[None], k)
     marked = is_duplicate(df, [fold, *duplicate_keys(df, roles)])
-    expected = with_fold_expectations(marked, twins, fold)
-    names = [residual_name(s) for s in roles.sensors]
-    out = expected.withColumns({n: F.col(s) - F.col(f"expected_{s}") for n, s in zip(names, roles.sensors)})
-    out = out.withColumns({"max_abs_residual": rw.max_abs(names), "suspect_sensor": rw.arg_max_abs(names, roles.sensors)})
+    out = _residuals(with_fold_expectations(marked, twins, fold), roles.sensors, "expected_")
     out = out.withColumn("bucket", fault_bucket(threshold, roles.sensors))
     return out.withColumn("verdict", F.when(F.col("bucket") == "none", roles.valid).otherwise(roles.invalid))
 

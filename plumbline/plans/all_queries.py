@@ -1,5 +1,11 @@
 """Imports every query module, which registers its queries."""
-from plumbline.plans import audit_queries, feature_queries, statistics_queries  # noqa: F401
+from plumbline.plans import (  # noqa: F401
+    audit_queries,
+    feature_queries,
+    model_queries,
+    statistics_queries,
+    twin_queries,
+)
 from plumbline.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
