@@ -71,12 +71,16 @@ def row_sum(values: Sequence[Column]) -> Column:
     return reduce(add, [F.coalesce(v, F.lit(0.0)) for v in values])
 
 
+def largest(values: Sequence[Column]) -> Column:
+    return F.greatest(*values) if len(values) > 1 else values[0]
+
+
 def row_min(cols: Sequence[str]) -> Column:
     return F.least(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
 
 
 def row_max(cols: Sequence[str]) -> Column:
-    return F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
+    return largest([F.col(c) for c in cols])
 
 
 def row_range(cols: Sequence[str]) -> Column:
@@ -134,7 +138,7 @@ def deviation(c: str, median: Column) -> Column:
 
 
 def max_abs_deviation(cols: Sequence[str], median: Column) -> Column:
-    return F.greatest(*[F.abs(F.col(c) - median) for c in cols])
+    return largest([F.abs(F.col(c) - median) for c in cols])
 
 
 def n_outside_consensus(cols: Sequence[str], k: float = 2.0, median: Column | None = None,
@@ -173,7 +177,7 @@ def fingerprint(cols: Sequence[str], decimals: int = 4, sentinel: float = -9e9)
 def arg_max_abs(cols: Sequence[str], names: Sequence[str] | None = None) -> Column:
     """Name of the column with the largest absolute value; NULLs skipped, first wins a tie."""
     names = list(names or cols)
-    top = F.greatest(*[F.abs(F.col(c)) for c in cols])
+    top = max_abs(cols)
     chain = F.when(F.abs(F.col(cols[0])) == top, F.lit(names[0]))
     for c, name in zip(cols[1:], names[1:]):
         chain = chain.when(F.abs(F.col(c)) == top, F.lit(name))
@@ -181,4 +185,4 @@ def arg_max_abs(cols: Sequence[str], names: Sequence[str] | None = None) -> Colu
 
 
 def max_abs(cols: Sequence[str]) -> Column:
-    return F.greatest(*[F.abs(F.col(c)) for c in cols])
+    return largest([F.abs(F.col(c)) for c in cols])

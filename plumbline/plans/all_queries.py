@@ -4,6 +4,7 @@ from plumbline.plans import (  # noqa: F401
     feature_queries,
     model_queries,
     statistics_queries,
+    stream_queries,
     twin_queries,
 )
 from plumbline.plans.registry import ORACLES, QUERIES
