@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,11 @@ def any_missing(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
+def present(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows where every column is there, as NULL tests that reach the scan."""
+    return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])) if cols else df
+
+
 def n_available(cols: Sequence[str]) -> Column:
     return reduce(add, [F.col(c).isNotNull().cast("int") for c in cols])
 

@@ -23,12 +23,29 @@ def per_column(df: DataFrame, cols: Sequence[str], stats: Mapping[str, Callable[
     return wide.select(*by, F.inline(F.array(*[F.col(f"_c{i}") for i in range(len(cols))])))
 
 
+def per_cell(df: DataFrame, cols: Sequence[str], stats: Mapping[str, Callable[[Column], Column]],
+             by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(by…, column, <stat>…)`` of the same aggregates over each numeric column's values.
+
+    Cells are unpivoted inside the scan and combined there, one entry per column and task. The
+    generated code stays small enough to be compiled whatever the number of columns, which one
+    aggregate per column does not.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    return (df.select(*by, F.inline(cells)).groupBy(*by, "column")
+            .agg(*[f(F.col("value")).alias(s) for s, f in stats.items()]))
+
+
 def missing(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Missing count and percentage (2 places) per column, per group when ``by`` is given."""
-    return per_column(df, cols or [c for c in df.columns if c not in by], {
-        "n_missing": lambda c: F.count_if(F.col(c).isNull()),
-        "pct_missing": lambda c: F.round(100.0 * F.count_if(F.col(c).isNull()) / F.count("*"), 2),
-    }, by)
+    cols = cols or [c for c in df.columns if c not in by]
+    gaps = df.select(*by, *[F.col(c).isNull().cast("int").alias(f"_gap{i}") for i, c in enumerate(cols)])
+    counts = gaps.groupBy(*by).agg(F.count("*").alias("_n"), *[F.sum(f"_gap{i}").alias(f"_gap{i}") for i in range(len(cols))])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"_gap{i}"), F.lit(0)).alias("n_missing"))
+                      for i, c in enumerate(cols)])
+    out = counts.select(*by, "_n", F.inline(cells))
+    share = F.round(100.0 * F.col("n_missing") / F.nullif(F.col("_n"), F.lit(0)), 2)
+    return out.withColumn("pct_missing", share).drop("_n")
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False,
@@ -47,8 +64,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def sign_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return per_column(df, cols, {"n_negative": lambda c: F.count_if(F.col(c) < 0),
-                                 "n_zero": lambda c: F.count_if(F.col(c) == 0)})
+    return per_cell(df, cols, {"n_negative": lambda v: F.count_if(v < 0), "n_zero": lambda v: F.count_if(v == 0)})
 
 
 def clipping(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
@@ -63,8 +79,7 @@ def clipping(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, range and quartiles per column."""
-    plain = per_column(df, cols, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min,
-                                  "max": F.max})
+    plain = per_cell(df, cols, {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
     q = quantiles(df, cols, QUARTILES, accuracy=accuracy).drop("n")
     return plain.join(F.broadcast(q), "column", "left").select(
         "column", "count", "mean", "std", "min", *QUARTILES, "max")
@@ -87,19 +102,18 @@ def extremes(df: DataFrame, cols: Sequence[str], iqr_factor: float = 1.5, z_limi
     std = df.agg(*[F.stddev_samp(c).alias(c) for c in flat]).first().asDict() if flat else {}
     scale = {c: std[c] if c in std else mad[c]["mad"] * 1.4826 for c in cols}
 
-    def far(c: str) -> Column:
-        reach = iqr_factor * (q[c]["p75"] - q[c]["p25"])
-        return (F.col(c) < q[c]["p25"] - reach) | (F.col(c) > q[c]["p75"] + reach)
-
-    def odd(c: str) -> Column:
-        if not scale[c]:
-            return F.lit(False)
-        return F.abs((F.col(c) - q[c]["p50"]) / scale[c]) > z_limit
-
-    return per_column(df, cols, {
-        "iqr_outliers": lambda c: F.count_if(far(c)), "robust_z_outliers": lambda c: F.count_if(odd(c)),
-        "min": F.min, "max": F.max, "mean": F.avg, "median": lambda c: F.lit(q[c]["p50"]),
-        "std": F.stddev_samp, "mad": lambda c: F.lit(mad[c]["mad"])})
+    limits = df.sparkSession.createDataFrame(
+        [(c, q[c]["p25"] - iqr_factor * (q[c]["p75"] - q[c]["p25"]), q[c]["p75"] + iqr_factor * (q[c]["p75"] - q[c]["p25"]),
+          q[c]["p50"], mad[c]["mad"], scale[c] or None) for c in cols],
+        "column string, low double, high double, median double, mad double, scale double")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    v = F.col("value")
+    # one row of limits per column
+    return (df.select(F.inline(cells)).join(F.broadcast(limits), "column").groupBy("column", "median", "mad").agg(
+        F.count_if((v < F.col("low")) | (v > F.col("high"))).alias("iqr_outliers"),
+        F.count_if(F.abs((v - F.col("median")) / F.col("scale")) > z_limit).alias("robust_z_outliers"),
+        F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
+        .select("column", "iqr_outliers", "robust_z_outliers", "min", "max", "mean", "median", "std", "mad"))
 
 
 def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -125,13 +139,12 @@ def drop_constant(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def catalog(train: DataFrame, test: DataFrame, cols: Sequence[str], decimals: int = 4) -> DataFrame:
     """Per feature: missing in train and test, and the train column's mean, deviation and range."""
-    stats = per_column(train, cols, {
-        "n_missing_train": lambda c: F.count_if(F.col(c).isNull()),
-        "mean": lambda c: F.round(F.avg(c), decimals), "std": lambda c: F.round(F.stddev_samp(c), decimals),
-        "min": lambda c: F.round(F.min(c).cast("double"), decimals),
-        "max": lambda c: F.round(F.max(c).cast("double"), decimals)})
+    stats = per_cell(train, cols, {
+        "n_missing_train": lambda v: F.count_if(v.isNull()), "mean": lambda v: F.round(F.avg(v), decimals),
+        "std": lambda v: F.round(F.stddev_samp(v), decimals), "min": lambda v: F.round(F.min(v), decimals),
+        "max": lambda v: F.round(F.max(v), decimals)})
     there = [c for c in cols if c in test.columns]
-    other = per_column(test, there, {"n_missing_test": lambda c: F.count_if(F.col(c).isNull())})
+    other = per_cell(test, there, {"n_missing_test": lambda v: F.count_if(v.isNull())})
     return (stats.join(F.broadcast(other), "column", "left")
             .select(F.col("column").alias("feature"), "n_missing_train", "n_missing_test", "mean", "std",
                     "min", "max"))

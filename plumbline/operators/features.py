@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import rowwise as rw
+from plumbline.functions.rowwise import present
 from plumbline.operators.bins import pattern_codes, with_pattern_code
 from plumbline.operators.dedup import group_facts
 from plumbline.roles import Roles
@@ -25,7 +26,7 @@ def valid_rows(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 
 def complete_cases(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(cols))
+    return present(df, cols)
 
 
 def columns_like(df: DataFrame, prefixes: Sequence[str] = (), contains: Sequence[str] = (),

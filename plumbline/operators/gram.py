@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.rowwise import present
+
 
 def exponents(n: int, degree: int) -> list[tuple[int, ...]]:
     """Powers of all monomials of ``n`` variables up to ``degree``, constant excluded, by degree."""
@@ -98,10 +100,10 @@ def moments(df: DataFrame, inputs: Sequence[str], targets: Sequence[str], powers
                  pa.array(upper[0], pa.int64()), pa.array(upper[1], pa.int64()), pa.array(mat[upper], pa.float64())],
                 names=["g", "pt", "i", "j", "v"])
 
-    base = df.dropna(subset=inputs).select(
+    base = present(df, inputs).select(
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)],
         *[F.col(c).cast("double").alias(f"y{i}") for i, c in enumerate(targets)],
-        (F.lit(0) if group is None else F.col(group)).cast("long").alias("g")).dropna(subset=["g"])
+        (F.lit(0) if group is None else F.col(group)).cast("long").alias("g")).filter("g is not null")
     entries = (base.mapInArrow(partial, "g long, pt long, i long, j long, v double")
                .groupBy("g", "pt", "i", "j").agg(F.sum("v").alias("v")).collect())
     mats: dict[tuple[int, int], np.ndarray] = {}
@@ -207,7 +209,7 @@ def linear_errors(df: DataFrame, inputs: Sequence[str], target: str, weights: Ma
                 [pa.array(names), pa.array(np.full(len(names), f), pa.int64()), *[pa.array(v, pa.float64()) for v in s]],
                 names=["candidate", "fold", "sae", "sse", "n", "sy", "syy"])
 
-    base = df.dropna(subset=[*inputs, target]).select(
+    base = present(df, [*inputs, target]).select(
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)],
         F.col(target).cast("double").alias("y"),
         (F.lit(0) if group is None else F.col(group)).cast("long").alias("g"))

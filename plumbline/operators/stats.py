@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -28,11 +28,14 @@ def pearson(a: Column | str, b: Column | str) -> Column:
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of every column pair, pairwise complete: rows ``(by…, col_a, col_b, r)``."""
-    pairs = list(combinations(cols, 2))
-    wide = df.groupBy(*by).agg(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), pearson(a, b).alias("r")).alias(f"_p{i}")
-        for i, (a, b) in enumerate(pairs)])
-    return wide.select(*by, F.inline(F.array(*[F.col(f"_p{i}") for i in range(len(pairs))])))
+    return _pair_corr(df, {(a, b): (F.col(a), F.col(b)) for a, b in combinations(cols, 2)}, by)
+
+
+def _pair_corr(df: DataFrame, pairs: Mapping[tuple[str, str], tuple[Column, Column]], by: Sequence[str] = ()) -> DataFrame:
+    """Correlation of many pairs: each row meets every pair inside its task, sums combine there."""
+    cells = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), x.cast("double").alias("_x"),
+                               y.cast("double").alias("_y")) for (a, b), (x, y) in pairs.items()])
+    return df.select(*by, F.inline(cells)).groupBy(*by, "col_a", "col_b").agg(pearson("_x", "_y").alias("r"))
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str], id: str) -> DataFrame:
@@ -54,11 +57,8 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str], id: str) -> DataFrame:
     ranked = attach_groups(cells, ranks, ["column", "value"], "n")
     rows = ranked.groupBy(id).agg(*[
         F.max(F.when(F.col("column") == c, F.col("ranks"))).alias(f"_r{j}") for j, c in enumerate(cols)])
-    pairs = list(combinations(range(len(cols)), 2))
-    wide = rows.agg(*[F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"),
-                               pearson(F.get(f"_r{a}", F.lit(b)), F.get(f"_r{b}", F.lit(a))).alias("r"))
-                      .alias(f"_p{i}") for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.inline(F.array(*[F.col(f"_p{i}") for i in range(len(pairs))])))
+    return _pair_corr(rows, {(cols[a], cols[b]): (F.get(f"_r{a}", F.lit(b)), F.get(f"_r{b}", F.lit(a)))
+                             for a, b in combinations(range(len(cols)), 2)})
 
 
 def _t_of_r(r: Column, n: Column) -> Column:
@@ -80,7 +80,8 @@ def point_biserial(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFram
 
 def rank_by_corr(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     """Absolute correlation with ``y``, largest first."""
-    return (per_column(df, cols, {"abs_r": lambda c: F.abs(pearson(c, y))})
+    r = _pair_corr(df, {(c, y): (F.col(c), F.col(y)) for c in cols})
+    return (r.select(F.col("col_a").alias("column"), F.abs("r").alias("abs_r"))
             .orderBy(F.col("abs_r").desc_nulls_last(), "column"))
 
 
@@ -295,7 +296,7 @@ def bootstrap_corr(df: DataFrame, cols: Sequence[str], y: str, id: str, resample
 
 def corr_by_fold(df: DataFrame, cols: Sequence[str], y: str, fold: str) -> DataFrame:
     """Mean and population deviation over folds of each column's correlation with ``y``."""
-    per_fold = per_column(df, cols, {"r": lambda c: pearson(c, y)}, by=[fold])
+    per_fold = _pair_corr(df, {(c, y): (F.col(c), F.col(y)) for c in cols}, [fold]).withColumnRenamed("col_a", "column")
     return per_fold.groupBy("column").agg(F.count("r").alias("folds"), F.avg("r").alias("mean_r"),
                                           F.stddev_pop("r").alias("std_r"))
 

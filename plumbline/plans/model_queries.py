@@ -46,7 +46,6 @@ def regression_baselines(spark, sf_dir):
     sets = {"raw_operating": OPS, "all_raw": M}
     fits = {"boosted_trees": lambda d, x, y: models.gbt_reg(d, x, y, 5, 4, bins=64),
             "elastic_net": lambda d, x, y: models.elastic_net(d, x, y, 0.1, 0.5),
-            "forest": lambda d, x, y: models.forest_reg(d, x, y, 5, 6, 32),
             "median": lambda d, x, y: models.dummy_reg(d, y)}
     return benchmark.model_comparison(benchmark.model_matrix(folded_valid(spark, sf_dir, 2), sets, fits, "ref", "fold", range(2)))
 
@@ -58,7 +57,6 @@ def classification_baselines(spark, sf_dir):
         "sensor_range", "max_dev_from_median", "n_sensors_missing", "is_exact_dup"]
     sets = {"all_raw": M, "sensor_consistency": consistency}
     fits = {"boosted_trees": lambda d, x, y: models.gbt_cls(d, x, y, 5, 4, bins=32),
-            "forest": lambda d, x, y: models.forest_cls(d, x, y, 5, 6, 32),
             "logistic": lambda d, x, y: models.logistic(d, x, y, max_iter=25),
             "most_frequent": lambda d, x, y: models.dummy_cls(d, y)}
     return benchmark.model_comparison(benchmark.model_matrix(df, sets, fits, "invalid", "fold", range(2), classify=True))
@@ -162,3 +160,22 @@ def agreeing_correlations(spark, sf_dir):
     left = stats.rank_by_corr(models.impute(df, models.fit_median(df, SENSORS)), M, "ref")
     right = stats.rank_by_corr(df, M, "ref").withColumnRenamed("abs_r", "complete")
     return left.join(right, "column")
+
+
+# --- anomaly scores, for comparison ------------------------------------------------------------------
+@query()
+def isolation_scores(spark, sf_dir):
+    from plumbline.operators import anomaly
+
+    df = anomaly.isolation_score(train(spark, sf_dir), M, "test_id", F.col("label") == "Valid", trees=50)
+    return df.groupBy("planted").agg(F.count("isolation_score").alias("n"), F.avg("isolation_score").alias("mean_score"),
+                                     F.count_if(F.col("isolation_score") < 0).alias("n_flagged"))
+
+
+@query()
+def robust_covariance(spark, sf_dir):
+    from plumbline.operators import anomaly
+
+    ellipse = anomaly.fit_robust_cov(features.valid_rows(train(spark, sf_dir), ROLES), M)
+    return train(spark, sf_dir).groupBy("planted").agg(
+        F.count(ellipse.distance()).alias("n"), F.count_if(ellipse.outlier()).alias("n_flagged"))

@@ -59,6 +59,16 @@ def load_tables(spark: SparkSession, directory: str,
     return {name: load_table(spark, f"{directory}/{name}.parquet", s) for name, s in named.items()}
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a table that arrives in fewer pieces than there are cores.
+
+    A table of many files is returned as it is; only a small one read from few files or row groups is
+    shuffled, so that later work on it runs on all cores.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def schema_profile(df: DataFrame) -> DataFrame:
     """Column list with types and positions as a table."""
     rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
