@@ -2,8 +2,9 @@
 
 Both ways start from a quantile sketch, one scan whose result is a few numbers per column:
 
-* ``quantiles`` uses the sketch to bracket every wanted rank. A second scan counts what lies between
-  the brackets and keeps only the values inside them, a share of about ``10 / SKETCH`` of the rows.
+* ``quantiles`` uses the sketch to bracket every wanted rank and, while a bracket still spans many
+  rows, sketches its inside to narrow it. A last scan counts what lies between the brackets and keeps
+  only the values inside them. No scan shuffles more than that.
 * ``running_counts`` uses it for range buckets. Rows collapse to one row per distinct value, so a
   value shared by a third of all rows costs one row; running totals inside a bucket come from a
   window over that bucket, and the totals of lower buckets are added.
@@ -18,7 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SKETCH = 20_000
+# rank error of the sketches is 1/SKETCH; a bracket wider than BRACKET_ROWS rows is narrowed first
+SKETCH = 4_000
+BRACKET_ROWS = 4_000_000
 MAX_CLASSES = 10_000
 
 
@@ -39,6 +42,48 @@ def class_rows(table: DataFrame) -> list:
     return rows
 
 
+def long_cells(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Rows ``(_key, column, value)``, one per non-null cell; ``_key`` holds the class columns."""
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols])
+    return (df.select(key.alias("_key"), F.inline(cells)).filter(F.col("value").isNotNull()))
+
+
+def _with_edges(cells: DataFrame, edges: dict, n: int) -> DataFrame:
+    """Cells next to their series' bracket edges ``_e0…``: one small row per class and column."""
+    key_type = cells.schema["_key"].dataType
+    fields = [T.StructField("_key", key_type, False), T.StructField("column", T.StringType(), False)]
+    fields += [T.StructField(f"_e{i}", T.DoubleType()) for i in range(2 * n)]
+    table = cells.sparkSession.createDataFrame([(k, c, *e) for (k, c), e in edges.items()], T.StructType(fields))
+    return cells.join(F.broadcast(table), ["_key", "column"])
+
+
+def _narrow(cells: DataFrame, edges: dict, sizes: dict, probs: Sequence[float]) -> tuple[dict, float]:
+    """One scan: sketch the inside of every bracket and cut it down around its wanted rank."""
+    grid = [i / 500 for i in range(501)]
+    v = F.col("value")
+    inside = [(v >= F.col(f"_e{2 * i}")) & (v <= F.col(f"_e{2 * i + 1}")) for i in range(len(probs))]
+    rows = _with_edges(cells, edges, len(probs)).groupBy("_key", "column").agg(
+        *[F.count_if(v < F.col(f"_e{2 * i}")).alias(f"b{i}") for i in range(len(probs))],
+        *[F.count_if(on).alias(f"n{i}") for i, on in enumerate(inside)],
+        *[F.percentile_approx(F.when(on, v), grid, SKETCH).alias(f"q{i}") for i, on in enumerate(inside)]).collect()
+    out, widest = {}, 0.0
+    for r in rows:
+        k = (tuple(r["_key"]), r["column"])
+        cut = []
+        for i, p in enumerate(probs):
+            rank = (sizes[k] - 1) * p - r[f"b{i}"]
+            share = rank / max(r[f"n{i}"] - 1, 1)
+            reach = 3.0 / SKETCH + 2.0 / max(r[f"n{i}"], 1)
+            low = max(0, math.floor((share - reach) * 500))
+            high = min(500, math.ceil((share + reach) * 500))
+            cut += [r[f"q{i}"][low], r[f"q{i}"][high]]
+            if cut[-2] < cut[-1]:
+                widest = max(widest, r[f"n{i}"] * (high - low) / 500)
+        out[k] = cut
+    return out, widest
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = (),
               accuracy: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles as rows ``(by…, column, n, <name>…)``; NULLs are skipped.
@@ -48,50 +93,36 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], by
     """
     cols, by, names = list(cols), list(by), sorted(probs, key=lambda k: probs[k])
     base = as_doubles(df, cols, by)
-    margin = 3.0 / (accuracy or SKETCH)
+    cells = long_cells(base, cols, by)
+    margin = 3.0 / SKETCH
     asked = [probs[k] for k in names] if accuracy else [
         min(1.0, max(0.0, probs[k] + s * margin)) for k in names for s in (-1, 1)]
-    sketched = base.groupBy(*by).agg(*[
-        F.struct(F.count(c).alias("n"), F.percentile_approx(c, asked, accuracy or SKETCH).alias("q")).alias(c)
-        for c in cols])
+    sketched = cells.groupBy("_key", "column").agg(
+        F.count("*").alias("n"), F.percentile_approx("value", asked, accuracy or SKETCH).alias("_q"))
+    keys = [F.col("_key")[b].alias(b) for b in by]
     if accuracy:
-        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}.n").alias("n"), *[
-            F.get(F.col(f"{c}.q"), F.lit(i)).alias(k) for i, k in enumerate(names)]) for c in cols])
-        return sketched.select(*by, F.inline(cells)).filter("n > 0").select(*by, "column", "n", *probs)
+        return sketched.select(*keys, "column", "n", *[F.get("_q", F.lit(names.index(k))).alias(k) for k in probs])
 
     found = class_rows(sketched)
+    edges = {(tuple(r["_key"]), r["column"]): list(r["_q"]) for r in found}
+    sizes = {(tuple(r["_key"]), r["column"]): r["n"] for r in found}
+    widest = 2 * margin * max(sizes.values(), default=0)
+    while widest > BRACKET_ROWS:
+        edges, width = _narrow(cells, edges, sizes, [probs[k] for k in names])
+        if width > widest / 2:
+            break
+        widest = width
     # slot 2i lies below bracket i, slot 2i+1 is bracket i, the last slot is above all of them
-    n_slots = 2 * len(names) + 1
-
-    def slot(value: Column, edges) -> Column:
-        chain = F.when(value < edges(0), F.lit(0))
-        for i in range(1, 2 * len(names)):
-            chain = chain.when(value <= edges(i) if i % 2 else value < edges(i), F.lit(i))
-        return chain.otherwise(F.lit(n_slots - 1))
-
-    def literal(c: str):
-        q = found[0][c]["q"] if found else None
-        return lambda i: F.lit(float("nan") if q is None else q[i])
-
-    if by:
-        spark = df.sparkSession
-        edges = spark.createDataFrame(
-            [(tuple(r[b] for b in by), {c: r[c]["q"] for c in cols if r[c]["q"] is not None}) for r in found],
-            T.StructType([T.StructField("_key", T.StructType([base.schema[b] for b in by]), False),
-                          T.StructField("_edges", T.MapType(T.StringType(), T.ArrayType(T.DoubleType())))]))
-        placed = base.withColumn("_key", F.struct(*by)).join(F.broadcast(edges), "_key")
-        place = {c: slot(F.col(c), lambda i, c=c: F.get(F.col("_edges")[c], F.lit(i))) for c in cols}
-    else:
-        placed = base
-        place = {c: slot(F.col(c), literal(c)) for c in cols}
-    cells = F.array(*[F.struct(
-        F.lit(c).alias("column"), place[c].alias("_slot"), F.col(c).alias("_v")) for c in cols])
-    kept = placed.select(*by, F.inline(cells)).filter(F.col("_v").isNotNull())
-    counted = (kept.withColumn("value", F.when(F.col("_slot") % 2 == 1, F.col("_v")))
-               .groupBy(*by, "column", "_slot", "value").agg(F.count("*").alias("_m")))
-    series = Window.partitionBy(*by, "column")
+    value = F.col("value")
+    slot = F.when(value < F.col("_e0"), F.lit(0))
+    for i in range(1, 2 * len(names)):
+        slot = slot.when(value <= F.col(f"_e{i}") if i % 2 else value < F.col(f"_e{i}"), F.lit(i))
+    placed = _with_edges(cells, edges, len(names)).withColumn("_slot", slot.otherwise(F.lit(2 * len(names))))
+    counted = (placed.select("_key", "column", "_slot", F.when(F.col("_slot") % 2 == 1, value).alias("value"))
+               .groupBy("_key", "column", "_slot", "value").agg(F.count("*").alias("_m")))
+    series = Window.partitionBy("_key", "column")
     end = F.sum("_m").over(series.orderBy("_slot", "value").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counted.select(*by, "column", "value", end.alias("_end"), (end - F.col("_m")).alias("_start"),
+    ranked = counted.select("_key", "column", "value", end.alias("_end"), (end - F.col("_m")).alias("_start"),
                             F.sum("_m").over(series).alias("n"))
     spot = {k: (F.col("n") - 1) * F.lit(float(probs[k])) for k in names}
 
@@ -100,10 +131,10 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], by
         return F.max(F.when(hit, F.coalesce(
             F.col("value"), F.raise_error(F.lit("a wanted rank fell outside its bracket")).cast("double"))))
 
-    picked = ranked.groupBy(*by, "column").agg(
+    picked = ranked.groupBy("_key", "column").agg(
         F.max("n").alias("n"), *[at(F.floor(spot[k])).alias(f"_lo_{k}") for k in names],
         *[at(F.ceil(spot[k])).alias(f"_hi_{k}") for k in names])
-    return picked.select(*by, "column", "n", *[
+    return picked.select(*keys, "column", "n", *[
         (F.col(f"_lo_{k}") + (F.col(f"_hi_{k}") - F.col(f"_lo_{k}")) * (spot[k] - F.floor(spot[k]))).alias(k)
         for k in probs])
 

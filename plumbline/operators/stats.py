@@ -22,8 +22,13 @@ def no_nan(c: Column) -> Column:
 
 
 def pearson(a: Column | str, b: Column | str) -> Column:
-    """Pairwise-complete Pearson correlation; NULL when a side is constant."""
-    return no_nan(F.corr(a, b))
+    """Pairwise-complete Pearson correlation; NULL when a side is constant.
+
+    Written out, because the built-in one raises on a constant column under ANSI arithmetic.
+    """
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
