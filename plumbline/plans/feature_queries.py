@@ -251,11 +251,11 @@ def median_imputed(spark, sf_dir):
     return models.impute(test(spark, sf_dir), medians).select("test_id", *SENSORS)
 
 
-@query(f"""SELECT test_id, {", ".join(f"round(({c} - m_{c}) / d_{c}, 8) AS {c}_z" for c in M)} FROM bench,
+@query(f"""SELECT test_id, {", ".join(f"round(({c} - m_{c}) / d_{c}, 5) AS {c}_z" for c in M)} FROM bench,
        (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in M)} FROM bench)""")
 def standardised(spark, sf_dir):
     out = models.standardise(bench(spark, sf_dir), M)
-    return rounded(out, [f"{c}_z" for c in M], 8).select("test_id", *[f"{c}_z" for c in M])
+    return rounded(out, [f"{c}_z" for c in M], 5).select("test_id", *[f"{c}_z" for c in M])
 
 
 @query()

@@ -17,7 +17,7 @@ S3, M = list(ROLES.sensors), ROLES.measurements
 SQUARE, K = "current_a * current_a", 2.0
 
 
-def rounded(df, cols, d=8):
+def rounded(df, cols, d=5):
     return df.withColumns({c: F.round(c, d) for c in cols})
 
 
@@ -118,7 +118,7 @@ def line_scored(spark, sf_dir, rows=test):
     return twin.predict_validity(rows(spark, sf_dir), model, threshold, ROLES), threshold
 
 
-@query(f"WITH {LINES} SELECT test_id, {', '.join(f'round(r_{s}, 8) AS residual_{s}' for s in S3)}, round(m, 8) AS max_abs_residual, "
+@query(f"WITH {LINES} SELECT test_id, {', '.join(f'round(r_{s}, 5) AS residual_{s}' for s in S3)}, round(m, 5) AS max_abs_residual, "
        "suspect AS suspect_sensor FROM bk -- of bench")
 def line_residuals(spark, sf_dir):
     model, _ = line_fitted(spark, sf_dir)
@@ -126,10 +126,10 @@ def line_residuals(spark, sf_dir):
     return rounded(twin.with_residuals(bench(spark, sf_dir), model), names).select("test_id", *names, "suspect_sensor")
 
 
-@query(f"WITH {LINES} SELECT round(t, 8) AS threshold FROM thr -- of bench")
+@query(f"WITH {LINES} SELECT round(t, 5) AS threshold FROM thr -- of bench")
 def line_threshold(spark, sf_dir):
     _, threshold = line_fitted(spark, sf_dir)
-    return train(spark, sf_dir).agg(F.round(F.max(F.lit(threshold)), 8).alias("threshold"))
+    return train(spark, sf_dir).agg(F.round(F.max(F.lit(threshold)), 5).alias("threshold"))
 
 
 @query(f"WITH {LINES} SELECT test_id, bucket, CASE WHEN bucket = 'none' THEN 'Valid' ELSE 'Invalid' END AS verdict FROM bk "
@@ -147,7 +147,7 @@ def line_taxonomy(spark, sf_dir):
 @query(f"""WITH {LINES}, g AS (SELECT max(m) FILTER (label = 'Valid') AS vm, min(m) FILTER (label = 'Invalid' AND NOT is_dup
          AND s1 IS NOT NULL AND s2 IS NOT NULL AND s3 IS NOT NULL) AS sm, stddev_samp(m) FILTER (label = 'Valid') AS sd
          FROM bk WHERE split = 'train')
-       SELECT round(vm, 8) AS valid_max, round(sm, 8) AS spike_min, round(sd, 8) AS valid_sigma, round(sm / vm, 8) AS ratio FROM g -- of bench""")
+       SELECT round(vm, 5) AS valid_max, round(sm, 5) AS spike_min, round(sd, 5) AS valid_sigma, round(sm / vm, 5) AS ratio FROM g -- of bench""")
 def line_separation_gap(spark, sf_dir):
     out = twin.gap(line_scored(spark, sf_dir, train)[0], ROLES)
     return rounded(out, ["valid_max", "spike_min", "valid_sigma", "ratio"])
@@ -187,28 +187,28 @@ def attended(spark, sf_dir):
 PARTS = ["part_invalid", "part_residual", "part_missing", "part_prediction", "attention"]
 
 
-@query(f"""WITH {LINES}, {REFERENCE} SELECT test_id, round(a1, 8) AS part_invalid, round(a2, 8) AS part_residual, round(a3, 8) AS part_missing,
-       round(a4, 8) AS part_prediction, round((a1 + a2 + a3 + a4) / 4, 8) AS attention FROM att -- of bench""")
+@query(f"""WITH {LINES}, {REFERENCE} SELECT test_id, round(a1, 5) AS part_invalid, round(a2, 5) AS part_residual, round(a3, 5) AS part_missing,
+       round(a4, 5) AS part_prediction, round((a1 + a2 + a3 + a4) / 4, 5) AS attention FROM att -- of bench""")
 def attention_scores(spark, sf_dir):
     return rounded(attended(spark, sf_dir), PARTS).select("test_id", *PARTS)
 
 
-@query(f"""WITH {LINES}, {REFERENCE} SELECT test_id, round((a1 + a2 + a3 + a4) / 4, 8) AS attention FROM att
-       ORDER BY round((a1 + a2 + a3 + a4) / 4, 8) DESC, test_id LIMIT 3 -- of bench""")
+@query(f"""WITH {LINES}, {REFERENCE} SELECT test_id, round((a1 + a2 + a3 + a4) / 4, 5) AS attention FROM att
+       ORDER BY round((a1 + a2 + a3 + a4) / 4, 5) DESC, test_id LIMIT 3 -- of bench""")
 def top_attention(spark, sf_dir):
     return twin.top_attention(rounded(attended(spark, sf_dir), ["attention"]), "test_id")
 
 
 @query(f"""WITH {LINES}, {REFERENCE} SELECT test_id, CASE WHEN bucket = 'none' THEN 'Valid' ELSE 'Invalid' END AS verdict, bucket, is_dup,
-       round(m, 8) AS max_abs_residual, suspect AS suspect_sensor, {', '.join(f'round(r_{s}, 8) AS residual_{s}' for s in S3)},
-       round(a1, 8) AS part_invalid, round(a2, 8) AS part_residual, round(a3, 8) AS part_missing, round(a4, 8) AS part_prediction,
-       round((a1 + a2 + a3 + a4) / 4, 8) AS attention FROM att -- of bench""")
+       round(m, 5) AS max_abs_residual, suspect AS suspect_sensor, {', '.join(f'round(r_{s}, 5) AS residual_{s}' for s in S3)},
+       round(a1, 5) AS part_invalid, round(a2, 5) AS part_residual, round(a3, 5) AS part_missing, round(a4, 5) AS part_prediction,
+       round((a1 + a2 + a3 + a4) / 4, 5) AS attention FROM att -- of bench""")
 def record_diagnostics(spark, sf_dir):
     out = twin.diagnostics(attended(spark, sf_dir), "test_id")
     return rounded(out, [c for c, t in out.dtypes if t == "double"])
 
 
-@query(f"""WITH {LINES}, {REFERENCE} SELECT test_id, round(p, 8) AS predicted, CASE WHEN bucket = 'none' THEN 'Valid' ELSE 'Invalid' END
+@query(f"""WITH {LINES}, {REFERENCE} SELECT test_id, round(p, 5) AS predicted, CASE WHEN bucket = 'none' THEN 'Valid' ELSE 'Invalid' END
        AS verdict FROM att -- of bench""")
 def submission_rows(spark, sf_dir):
     rows = test(spark, sf_dir)
@@ -227,7 +227,7 @@ def submission_checks(spark, sf_dir):
 @query(f"""WITH {LINES}, {REFERENCE}, q AS (SELECT *, (a1 + a2 + a3 + a4) / 4 AS a FROM att)
        SELECT count(*) AS records_analysed, count(*) FILTER (bucket <> 'none') AS invalid_records, round(min(p), 6) AS minimum_predicted,
        round(max(p), 6) AS maximum_predicted, round(avg(p), 6) AS average_predicted,
-       (SELECT list(test_id ORDER BY round(a, 8) DESC, test_id) FROM (SELECT * FROM q ORDER BY round(a, 8) DESC, test_id LIMIT 3))
+       (SELECT list(test_id ORDER BY round(a, 5) DESC, test_id) FROM (SELECT * FROM q ORDER BY round(a, 5) DESC, test_id LIMIT 3))
          AS highest_attention_ids FROM q -- of bench""")
 def submission_summary(spark, sf_dir):
     pred = rounded(attended(spark, sf_dir), ["attention"])
@@ -236,15 +236,15 @@ def submission_summary(spark, sf_dir):
 
 
 @query(f"""WITH {LINES} SELECT count(*) FILTER (p < lo - (hi - lo) * 0.2e0 OR p > hi + (hi - lo) * 0.2e0) AS n_clipped,
-       round(min(greatest(least(p, hi + (hi - lo) * 0.2e0), lo - (hi - lo) * 0.2e0)), 8) AS min,
-       round(max(greatest(least(p, hi + (hi - lo) * 0.2e0), lo - (hi - lo) * 0.2e0)), 8) AS max
+       round(min(greatest(least(p, hi + (hi - lo) * 0.2e0), lo - (hi - lo) * 0.2e0)), 5) AS min,
+       round(max(greatest(least(p, hi + (hi - lo) * 0.2e0), lo - (hi - lo) * 0.2e0)), 5) AS max
        FROM (SELECT 3e0 * ref - 40 AS p FROM bench), (SELECT min(ref) AS lo, max(ref) AS hi FROM bench WHERE label = 'Valid') -- of bench""")
 def clipped_predictions(spark, sf_dir):
     df = bench(spark, sf_dir)
     ends = features.valid_rows(df, ROLES).agg(F.min("ref").alias("lo"), F.max("ref").alias("hi")).first()
     p = F.col("ref") * 3.0 - 40
     clip = rw.clip_range(p, F.lit(ends["lo"]), F.lit(ends["hi"]))
-    return df.agg(F.count_if(clip != p).alias("n_clipped"), F.round(F.min(clip), 8).alias("min"), F.round(F.max(clip), 8).alias("max"))
+    return df.agg(F.count_if(clip != p).alias("n_clipped"), F.round(F.min(clip), 5).alias("min"), F.round(F.max(clip), 5).alias("max"))
 
 
 # --- robustness --------------------------------------------------------------------------------------
