@@ -45,3 +45,22 @@ def op6_hilbert_shards(spark, sf_dir):
     placed = hilbert_shards(rows, ["lang", "source", "log_size", "doc_id"], shards=40, ties=["text_crc32", "doc_id"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@query()
+def op4_pack_sequences(spark, sf_dir):
+    import public_tokenizers
+
+    from plumbline.llm.packing import pack
+
+    pieces = pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op10_count_tokens(spark, sf_dir):
+    import public_tokenizers
+
+    from plumbline.llm.tokens import count_tokens
+
+    return count_tokens(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), 512)
