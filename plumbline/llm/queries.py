@@ -64,3 +64,15 @@ def op10_count_tokens(spark, sf_dir):
     from plumbline.llm.tokens import count_tokens
 
     return count_tokens(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), 512)
+
+
+@query("""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+      FROM documents)
+WINDOW same AS (PARTITION BY body)""")
+def op7_exact_duplicates(spark, sf_dir):
+    from plumbline.llm.exactdup import exact_duplicates
+
+    return exact_duplicates(documents(spark, sf_dir))
