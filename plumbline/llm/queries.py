@@ -76,3 +76,44 @@ def op7_exact_duplicates(spark, sf_dir):
     from plumbline.llm.exactdup import exact_duplicates
 
     return exact_duplicates(documents(spark, sf_dir))
+
+
+def _secret_spans_sql(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+SELECT doc_id, unnest(list_transform(range(1, len(ins) + 1), lambda i: {{'start': CAST(list_sum(gaps[1:i])
+       + coalesce(list_sum(ins[1:i - 1]), 0) AS BIGINT), 'size': ins[i], 'tested': tested[i]}})) AS m,
+       '{kind}' AS kind, {rank} AS rank, {least} AS least
+FROM (SELECT doc_id, list_transform(string_split_regex(body, '{quoted}'), lambda x: length(x)) AS gaps,
+             list_transform(regexp_extract_all(body, '{quoted}'), lambda x: length(x)) AS ins,
+             list_transform(regexp_extract_all(body, '{quoted}', {group}), lambda x: length(x)) AS tested
+      FROM bodies WHERE regexp_matches(body, '{quoted}'))"""
+
+
+def secrets_sql() -> str:
+    from plumbline.llm.secrets import RULES
+
+    parts = "\nUNION ALL\n".join(_secret_spans_sql(r.kind, i, r.pattern, r.group, r.least) for i, r in enumerate(RULES))
+    return f"""
+WITH bodies AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+spans AS (SELECT doc_id, kind, rank, m.start AS s, m.start + m.size AS e FROM ({parts}) WHERE m.tested >= least),
+lists AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k,
+                 count(*) FILTER (kind = 'hex') AS h,
+                 string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base,
+                 string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(lists.spans, '') AS spans
+FROM documents LEFT JOIN lists USING (doc_id)"""
+
+
+@query(secrets_sql())
+def op8_scan_secrets(spark, sf_dir):
+    from plumbline.llm.secrets import BASE, scan, span_text
+    from plumbline.sources.shared import shared_folder
+
+    found = scan(documents(spark, sf_dir), shared_folder(spark, "secret-ledger"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["rank"] < len(BASE))
+    return found.select(F.col("path").alias("doc_id"), of("assign").alias("n_assign"), of("access").alias("n_access"),
+                        of("hex").alias("n_hex"), F.sha2(span_text(base), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"))
