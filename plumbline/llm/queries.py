@@ -117,3 +117,11 @@ def op8_scan_secrets(spark, sf_dir):
     return found.select(F.col("path").alias("doc_id"), of("assign").alias("n_assign"), of("access").alias("n_access"),
                         of("hex").alias("n_hex"), F.sha2(span_text(base), 256).alias("base_sha256"),
                         span_text(F.col("spans")).alias("spans"))
+
+
+@query()
+def op2_judge_quality(spark, sf_dir):
+    from plumbline.llm.quality import judge
+
+    return judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
