@@ -125,3 +125,10 @@ def op2_judge_quality(spark, sf_dir):
 
     return judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+@query()
+def op5_score_toxicity(spark, sf_dir):
+    from plumbline.llm.toxicity import score_documents
+
+    return score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
