@@ -132,3 +132,10 @@ def op5_score_toxicity(spark, sf_dir):
     from plumbline.llm.toxicity import score_documents
 
     return score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query()
+def op3_near_duplicates(spark, sf_dir):
+    from plumbline.llm.neardup import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
