@@ -139,3 +139,10 @@ def op3_near_duplicates(spark, sf_dir):
     from plumbline.llm.neardup import near_duplicates
 
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query()
+def op9_remove_repeats(spark, sf_dir):
+    from plumbline.llm.repeats import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir)).drop("removed")
