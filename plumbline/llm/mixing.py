@@ -85,3 +85,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
         placed = placed.withColumn("words", F.greatest(F.least(F.col("words"), F.lit(budget) - F.col("position")), F.lit(0)))
     return placed.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], "row_id", "copy", "size",
                          "source_size", "target", "words", "finish", "position")
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` as the mix takes them: whole documents, each as often as it has copies in the mix, all columns as they were.
+
+    Rows that share a doc_id are taken equally often.
+    """
+    copies = (mix(docs, cut=False, **how).filter("words > 0").groupBy("doc_id", "row_id").agg(F.count(F.lit(1)).alias("_n"))
+              .groupBy(F.col("doc_id").alias("_id")).agg(F.max("_n").cast("int").alias("_copies")))
+    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))

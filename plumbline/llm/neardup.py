@@ -279,3 +279,9 @@ def full_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
                  pa.array([len(sets[i]) for i in mine], pa.int64())], ["rep", "values", "n_values"])
 
     return wanted.mapInArrow(run, "rep bigint, values binary, n_values bigint")
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with the smallest doc_id of each component, all columns as they were; rows of one doc_id stay or go together."""
+    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
