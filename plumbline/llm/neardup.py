@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     rows = settled(sketches(docs), "sketches")
     groups = settled(rows.filter("digest is not null").groupBy("digest").agg(
-        F.min(F.struct("doc_id", "row_id")).alias("first"), F.count(F.lit(1)).alias("copies"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id")).alias("first"), F.count(F.lit(1)).alias("copies"))
         .select("digest", "copies", F.col("first.row_id").alias("rep"), F.col("first.doc_id").alias("rep_doc")), "sets")
     reps = rows.join(groups.select("rep"), rows.row_id == F.col("rep")).select("rep", "n_shingles", "sketch")
     labels = components(links_between(docs, reps, groups))
