@@ -1,8 +1,11 @@
 """Helpers the text operators share: exact running totals, word counts and row numbers."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +15,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 4096
 
 
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose ``column`` holds about ``most`` bytes, or one row that holds more.
+
+    What a worker builds from a batch is many times the batch, so its memory is bounded by this.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // most
+        edges = np.flatnonzero(np.diff(part, prepend=-1)) if batch.num_rows else np.zeros(0, int)
+        for lo, hi in zip(edges, [*edges[1:], batch.num_rows]):
+            yield batch.slice(int(lo), int(hi - lo))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

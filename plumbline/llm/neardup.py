@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import slices
 from plumbline.llm.components import components
 from plumbline.operators.skew import attach_groups
 from plumbline.sources.shared import settled
@@ -72,7 +73,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"))
             yield pa.RecordBatch.from_arrays([
                 pa.array(row + np.arange(len(sets))), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -270,7 +271,7 @@ def full_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
         "rep", "_digest", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"))
             # rows with the doc_id of another text are told apart by the digest
             mine = [i for i, (s, d) in enumerate(zip(sets, batch.column("_digest").to_pylist())) if digest(s) == d]
