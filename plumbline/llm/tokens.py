@@ -5,6 +5,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +124,13 @@ def count_tokens(docs: DataFrame, path: str, limit: int) -> DataFrame:
     return rows.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
+def byte_characters() -> dict[int, int]:
+    """The character that byte-level tokenizers show for each byte: itself if visible, else the next from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {**{b: b for b in visible}, **{b: 256 + i for i, b in enumerate(hidden)}}
+
+
 class ChunkIds:
     """Token ids of white-space-separated chunks of a word-level BPE tokenizer that drops white space.
 
@@ -135,13 +143,11 @@ class ChunkIds:
 
     def __init__(self, path: str):
         import regex
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tk = tokenizer(path)
-        self.specials = special_strings(self.tk)
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-        self.bytes_of = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.chunks: dict[str, np.ndarray] = {}
+        self.shown = byte_characters()
+        self.chunks: dict[str, list[int]] = {}
         self.words: dict[str, list[int]] = {}
 
     def word(self, word: str) -> list[int]:
@@ -149,20 +155,23 @@ class ChunkIds:
         if ids is None:
             if len(self.words) > REMEMBERED:
                 self.words.clear()
-            shown = word if word.isascii() else self.bytes_of(word)[0][0]
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
             ids = self.words[word] = [t.id for t in self.tk.model.tokenize(shown)]
         return ids
 
-    def chunk(self, chunk: str) -> np.ndarray:
-        latin = self._latin.fullmatch(chunk) is not None and "<|" not in chunk
-        if latin and (chunk.isascii() or unicodedata.is_normalized("NFC", chunk)):
-            words = self.pieces.findall(chunk.lower())
-            ids = self.word(words[0]) if len(words) == 1 else [i for w in words for i in self.word(w)]
-        else:
-            ids = self.tk.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, np.uint32)
-
-    def lookup(self, names: list[str]) -> list[np.ndarray]:
+    def chunk(self, chunk: str) -> list[int]:
+        if chunk.isascii():
+            chunk = chunk if "<|" in chunk else chunk.lower()
+            if chunk.isalpha():
+                return self.word(chunk)
+            if chunk[-1:] in ".," and chunk[:-1].isalpha():
+                return self.word(chunk[:-1]) + self.word(chunk[-1])
+        if self._latin.fullmatch(chunk) is None or "<|" in chunk or not (
+                chunk.isascii() or unicodedata.is_normalized("NFC", chunk)):
+            return self.tk.encode(chunk, add_special_tokens=False).ids
+        return [i for w in self.pieces.findall(chunk.lower()) for i in self.word(w)]
+
+    def lookup(self, names: list[str]) -> list[list[int]]:
         if len(self.chunks) + len(names) > REMEMBERED:
             self.chunks.clear()
         known, out = self.chunks, []
@@ -182,7 +191,7 @@ class ChunkIds:
         coded = chunks.flatten().dictionary_encode()
         ids = self.lookup(coded.dictionary.to_pylist())
         width = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(width.sum()))
         place = np.cumsum(width) - width
         codes = coded.indices.to_numpy()
         each = width[codes]
