@@ -64,7 +64,7 @@ def group_facts(df: DataFrame, cols: Sequence[str], facts: Mapping[str, Column],
         {k: round_half_even(c, decimals) for k, c in zip(keys, cols)})
     found = (keyed.groupBy(*keys).agg(F.count("*").alias("_n"), *[a.alias(k) for k, a in facts.items()])
              .filter("_n > 1"))
-    joined = attach_groups(keyed, found, keys, "_n", expect_few=True)
+    joined = attach_groups(keyed, found, keys, "_n")
     added = {}
     if size is not None:
         added[size] = F.coalesce(F.col("_n"), F.lit(1))

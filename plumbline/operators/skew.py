@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.sources.shared import settled
+
 # A group is hot when it holds more than 1/HOT_SHARE of the rows the group table covers, so there are
 # fewer than HOT_SHARE hot groups whatever the data: that is the size bound of their broadcast.
 HOT_SHARE = 1024
-# Group tables of at most this many rows are fetched once and broadcast as they are.
-FEW_GROUPS = 10_000
 
 
 def key_of(cols: Sequence[str]) -> Column:
@@ -18,28 +18,23 @@ def key_of(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
 
 
-def attach_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str,
-                  expect_few: bool = False) -> DataFrame:
+def attach_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
     """Left-join ``groups`` (one row per key, ``size`` rows each) onto ``rows``, NULL equal to NULL.
 
-    Rows of hot groups are served by a broadcast and never shuffled; all other groups are too small
-    to skew the shuffle that serves them. With ``expect_few`` the table is first fetched up to
-    ``FEW_GROUPS`` rows: when it ends there it is broadcast and no row of ``rows`` is shuffled.
+    The group table is worked out once and written to the shared folder. Hot groups are broadcast;
+    all others are joined by key, and since the size of the written table is known, Spark broadcasts
+    it too where it is small. In the join by key the rows of hot groups, which have their facts
+    already, go to tasks by a hash of the whole row, so no task gets a hot key. ``rows`` is read once.
     """
     facts = [c for c in groups.columns if c not in keys]
-    packed = groups.select(key_of(keys).alias("_key"), F.struct(*facts).alias("_fact"),
-                           F.col(size).alias("_size"))
-    keyed = rows.withColumn("_key", key_of(keys))
-    out = [F.col(c) for c in rows.columns] + [F.col("_fact")[c].alias(c) for c in facts]
-    if expect_few:
-        few = packed.select("_key", "_fact").limit(FEW_GROUPS + 1).collect()
-        if len(few) <= FEW_GROUPS:
-            small = rows.sparkSession.createDataFrame(few, packed.select("_key", "_fact").schema)
-            return keyed.join(F.broadcast(small), "_key", "left").select(*out)
+    packed = settled(groups.select(key_of(keys).alias("_key"), F.struct(*facts).alias("_fact"),
+                                   F.col(size).alias("_size")), "groups")
     is_hot = F.col("_size") * HOT_SHARE > packed.agg(F.sum("_size")).scalar()
-    hot = packed.filter(is_hot).select("_key", "_fact")
-    cold = packed.filter(~is_hot).select("_key", "_fact")
-    in_hot = keyed.join(F.broadcast(hot), "_key").select(*out)
-    in_cold = (keyed.join(F.broadcast(hot.select("_key")), "_key", "left_anti")
-               .join(cold, "_key", "left").select(*out))
-    return in_hot.unionByName(in_cold)
+    hot = packed.filter(is_hot).select("_key", F.col("_fact").alias("_hot"))
+    cold = packed.filter(~is_hot).select(F.col("_key").alias("_cold_key"), F.col("_fact").alias("_cold"), F.lit(0).alias("_zero"))
+    marked = (rows.withColumn("_key", key_of(keys)).join(F.broadcast(hot), "_key", "left")
+              .withColumn("_deal", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
+                  (F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_SHARE)) + 1).cast("int"))))
+    joined = marked.join(cold, (F.col("_key") == F.col("_cold_key")) & (F.col("_deal") == F.col("_zero")), "left")
+    fact = F.coalesce("_hot", "_cold")
+    return joined.select(*[F.col(c) for c in rows.columns], *[fact[c].alias(c) for c in facts])
