@@ -15,23 +15,32 @@ def kfold(df: DataFrame, id: str, k: int = 5, seed: int = 42, out: str = "fold")
     return df.withColumn(out, F.pmod(F.xxhash64(F.col(id), F.lit(seed)), F.lit(k)).cast("int"))
 
 
+def numbered(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), out: str = "_i") -> DataFrame:
+    """Number the rows of each class from 0 in the order of ``order``, whose first column is a hash of 64 bits.
+
+    Even ranges of the hash number their rows separately and add the count of the lower ranges, so no
+    class sits in one task. The numbers depend on the order alone, not on how many ranges there are.
+    """
+    n = n_partitions(df)
+    marked = (df.withColumns({f"_o{i}": c for i, c in enumerate(order)})
+              .withColumn("_range", F.floor((F.col("_o0") / F.lit(2.0 ** 64) + 0.5) * n).cast("int")))
+    part = [*by, "_range"]
+    lower = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = marked.groupBy(*part).agg(F.count("*").alias("_m")).select(
+        *[F.col(c).alias(f"_k_{c}") for c in part], F.coalesce(F.sum("_m").over(lower), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*part).orderBy(*[f"_o{i}" for i in range(len(order))])
+    counted = marked.withColumn("_place", F.row_number().over(inside) - 1)
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in part]
+    return counted.join(sizes, same).select(*df.columns, (F.col("_start") + F.col("_place")).alias(out))
+
+
 def stratified_kfold(df: DataFrame, id: str, by: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Shuffled k-fold whose class counts differ by at most one between folds.
 
-    Rows of a class are numbered in the order of a hash of their id. Even ranges of the hash number
-    their rows separately and add the count of the lower ranges, so no class sits in one task.
+    Rows of a class are numbered in the order of a hash of their id; rows without a class are one more.
     """
-    n = n_partitions(df)
-    marked = (df.withColumn("_h", F.xxhash64(F.col(id), F.lit(seed)))
-              .withColumn("_range", F.floor((F.col("_h") / F.lit(2.0 ** 64) + 0.5) * n).cast("int")))
-    part = [by, "_range"]
-    lower = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (marked.groupBy(*part).agg(F.count("*").alias("_m"))
-             .select(*part, F.coalesce(F.sum("_m").over(lower), F.lit(0)).alias("_start")))
-    numbered = marked.withColumn("_i", F.row_number().over(Window.partitionBy(*part).orderBy("_h", id)) - 1)
-    joined = numbered.join(sizes.withColumnRenamed(by, "_by"),
-                           (F.col(by) == F.col("_by")) & (numbered["_range"] == sizes["_range"]), "left")
-    return joined.select(*df.columns, F.pmod(F.col("_start") + F.col("_i"), F.lit(k)).cast("int").alias(out))
+    rows = numbered(df, [F.xxhash64(F.col(id), F.lit(seed)), F.col(id)], [by])
+    return rows.withColumn(out, F.pmod("_i", F.lit(k)).cast("int")).drop("_i")
 
 
 def group_kfold(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42, decimals: int | None = 4,

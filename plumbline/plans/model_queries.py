@@ -97,8 +97,36 @@ def classification_feature_ranking(spark, sf_dir):
 @query()
 def permutation_importance(spark, sf_dir):
     rows = folded_valid(spark, sf_dir).dropna(subset=M)
-    model = models.forest_reg(rows, OPS, "ref", 5, 6)
-    return ranking.permutation_importance(rows, model, OPS, "ref", "test_id", repeats=2)
+    model = models.forest_reg(rows, OPS, "ref", 20, 8)
+    return ranking.permutation_importance(rows, model, OPS, "ref", "test_id")
+
+
+# a fixed line stands in for a fitted model, so that SQL can repeat the shuffle
+LINE = {"voltage": 0.4, "current_a": 0.3, "ambient": 0.25, "duration": 0.05}
+
+
+def _permutation_sql():
+    line = " + ".join(f"{w}e0 * {c}" for c, w in LINE.items())
+    drops = "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS feature, r, 1 - sum(pow(ref - (p + {w}e0 * (z_{c} - {c})), 2)) / any_value(sst) AS r2,
+        1 - sum(pow(ref - p, 2)) / any_value(sst) AS base FROM m GROUP BY r""" for c, w in LINE.items())
+    return f"""WITH v AS (SELECT *, {line} AS p, row_number() OVER (ORDER BY test_id, ref) - 1 AS i, count(*) OVER () AS n,
+            var_pop(ref) OVER () * count(*) OVER () AS sst FROM bench WHERE split = 'train' AND label = 'Valid'),
+        m AS (SELECT a.*, r, {', '.join(f'b.{c} AS z_{c}' for c in LINE)} FROM v AS a, (SELECT unnest(range(10)) AS r) AS k
+            JOIN v AS b ON b.i = (a.i + 1 + ((a.n - 1) * (r + 1) // 11) % (a.n - 1)) % a.n),
+        d AS ({drops})
+        SELECT feature, round(avg(base - r2), 8) AS importance, round(stddev_pop(base - r2), 8) AS std FROM d GROUP BY feature"""
+
+
+@query(_permutation_sql())
+def permutation_importance_of_a_line(spark, sf_dir):
+    rows = features.valid_rows(train(spark, sf_dir), ROLES)
+
+    def predict(x):
+        return sum((F.get(x, F.lit(i)) * w for i, w in enumerate(LINE.values())), F.lit(0.0))
+
+    out = ranking.permutation_importance(rows, predict, list(LINE), "ref", "test_id", order=[F.col("test_id"), F.col("ref")])
+    return out.select("feature", F.round("importance", 8).alias("importance"), F.round("std", 8).alias("std"))
 
 
 @query()
@@ -153,13 +181,19 @@ def cross_fitted_residuals(spark, sf_dir):
         F.count("r").alias("n"), F.avg(F.abs("r")).alias("mean_abs"), F.stddev_samp("r").alias("sigma"))
 
 
-@query()
+def _agreeing_sql():
+    filled = {c: f"coalesce({c}, (SELECT median({c}) FROM bench))" if c in SENSORS else c for c in M}
+    return " UNION ALL ".join(f"""SELECT '{c}' AS "column", round(abs(corr({filled[c]}, ref)), 9) AS abs_r,
+        round(abs(corr({c}, ref)), 9) AS complete FROM bench""" for c in M)
+
+
+@query(_agreeing_sql())
 def agreeing_correlations(spark, sf_dir):
     """Median-imputed and complete-case correlation with the target, side by side."""
     df = bench(spark, sf_dir)
     left = stats.rank_by_corr(models.impute(df, models.fit_median(df, SENSORS)), M, "ref")
     right = stats.rank_by_corr(df, M, "ref").withColumnRenamed("abs_r", "complete")
-    return left.join(right, "column")
+    return left.join(right, "column").select("column", F.round("abs_r", 9).alias("abs_r"), F.round("complete", 9).alias("complete"))
 
 
 # --- anomaly scores, for comparison ------------------------------------------------------------------
@@ -167,7 +201,7 @@ def agreeing_correlations(spark, sf_dir):
 def isolation_scores(spark, sf_dir):
     from plumbline.operators import anomaly
 
-    df = anomaly.isolation_score(train(spark, sf_dir), M, "test_id", F.col("label") == "Valid", trees=50)
+    df = anomaly.isolation_score(train(spark, sf_dir), M, "test_id", F.col("label") == "Valid")
     return df.groupBy("planted").agg(F.count("isolation_score").alias("n"), F.avg("isolation_score").alias("mean_score"),
                                      F.count_if(F.col("isolation_score") < 0).alias("n_flagged"))
 
