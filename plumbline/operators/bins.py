@@ -76,7 +76,7 @@ def equal_width_bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40, by: Sequence[str] = (),
-              density: bool = False, shared: bool = True) -> DataFrame:
+              density: bool = False) -> DataFrame:
     """Equal-width histogram per column and group: rows ``(by…, column, bin, left, n[, density])``.
 
     All groups share one grid, spanning the column's range over the whole table.

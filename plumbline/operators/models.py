@@ -15,7 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.ordered import quantile_values
+from plumbline.operators.ordered import class_rows, quantile_values
 
 SEED = 42
 
@@ -213,7 +213,12 @@ def gbt_importance(df: DataFrame, x: Sequence[str], y: str, classify: bool = Fal
 
 
 # --- out-of-fold ---------------------------------------------------------------------------------
-def oof_predict(df: DataFrame, fit: Callable[[DataFrame], object], k: int, fold: str = "fold") -> DataFrame:
-    """Each fold's rows predicted by a model fitted on the other folds."""
-    parts = [fit(df.filter(F.col(fold) != i)).transform(df.filter(F.col(fold) == i)) for i in range(k)]
+def fold_values(df: DataFrame, fold: str = "fold") -> list:
+    """The folds that there are, in order."""
+    return sorted(r[0] for r in class_rows(df.filter(F.col(fold).isNotNull()).select(fold).distinct()))
+
+
+def oof_predict(df: DataFrame, fit: Callable[[DataFrame], object], folds: Sequence, fold: str = "fold") -> DataFrame:
+    """Rows of each of ``folds`` predicted by a model fitted on the other folds."""
+    parts = [fit(df.filter(F.col(fold) != i)).transform(df.filter(F.col(fold) == i)) for i in folds]
     return reduce(DataFrame.unionByName, parts)

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.sources.shared import settled
+
 # rank error of the sketches is 1/SKETCH; a bracket wider than BRACKET_ROWS rows is narrowed first
 SKETCH = 4_000
 BRACKET_ROWS = 4_000_000
@@ -34,10 +36,11 @@ def as_doubles(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*kept, *[F.col(c).cast("double").alias(c) for c in dict.fromkeys(cols)])
 
 
-def class_rows(table: DataFrame) -> list:
-    """Collect a table with one row per class, after checking that there are few."""
-    rows = table.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
+def class_rows(table: DataFrame, columns: int = 1) -> list:
+    """Collect a table with one row per class and column, after checking that there are few classes."""
+    most = MAX_CLASSES * max(columns, 1)
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
         raise ValueError(f"more than {MAX_CLASSES} classes: {table.columns}")
     return rows
 
@@ -103,13 +106,13 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], by
     if accuracy:
         return sketched.select(*keys, "column", "n", *[F.get("_q", F.lit(names.index(k))).alias(k) for k in probs])
 
-    found = class_rows(sketched)
+    found = class_rows(sketched, len(cols))
     edges = {(tuple(r["_key"]), r["column"]): list(r["_q"]) for r in found}
     sizes = {(tuple(r["_key"]), r["column"]): r["n"] for r in found}
     widest = 2 * margin * max(sizes.values(), default=0)
     while widest > BRACKET_ROWS:
         edges, width = _narrow(cells, edges, sizes, [probs[k] for k in names])
-        if width > widest / 2:
+        if width >= widest:  # only values that repeat are left inside, and those collapse below
             break
         widest = width
     # slot 2i lies below bracket i, slot 2i+1 is bracket i, the last slot is above all of them
@@ -166,8 +169,9 @@ def running_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_b_{c}").cast("int").alias("_bucket"),
                                F.col(c).alias("value")) for c in cols])
     carried = list(dict.fromkeys([*by, *keep]))
-    collapsed = (placed.select(*carried, F.inline(cells)).filter(F.col("value").isNotNull())
-                 .groupBy(*by, "column", "_bucket", "value").agg(*[a.alias(k) for k, a in counts.items()]))
+    # written once: both the bucket totals and the rows inside the buckets read it
+    collapsed = settled(placed.select(*carried, F.inline(cells)).filter(F.col("value").isNotNull())
+                        .groupBy(*by, "column", "_bucket", "value").agg(*[a.alias(k) for k, a in counts.items()]), "values")
     bucket = [*by, "column", "_bucket"]
     series = Window.partitionBy(*by, "column")
     lower = series.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -177,7 +181,6 @@ def running_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                        *[F.sum(f"_s_{c}").over(series).alias(f"{c}_total") for c in counts]))
     inside = Window.partitionBy(*bucket).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     within = collapsed.select("*", *[F.coalesce(F.sum(c).over(inside), zero).alias(f"_i_{c}") for c in counts])
-    # both sides are already clustered by bucket, so this join moves only the small side
     right = offsets.select(*[F.col(b).alias(f"_k_{b}") for b in bucket],
                            *[c for c in offsets.columns if c not in bucket])
     same = [F.col(b).eqNullSafe(F.col(f"_k_{b}")) if b in by else F.col(b) == F.col(f"_k_{b}") for b in bucket]
@@ -187,19 +190,24 @@ def running_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                          *[f"{c}_total" for c in counts])
 
 
+def average_rank(descending: bool = False) -> Column:
+    """Average rank of a value, from the columns of ``running_counts``."""
+    below = F.col("n_total") - F.col("n_below") - F.col("n") if descending else F.col("n_below")
+    return below + (F.col("n") + 1) / 2
+
+
+def percent_rank() -> Column:
+    """Share of rows strictly below a value, over n - 1, from the columns of ``running_counts``."""
+    others = F.col("n_total") - 1
+    return F.when(others > 0, F.col("n_below") / others).otherwise(F.lit(0.0))
+
+
 def average_ranks(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                   descending: bool = False) -> DataFrame:
     """Average rank per distinct value: rows ``(by…, column, value, n, avg_rank)``."""
-    below = F.col("n_below")
-    if descending:
-        below = F.col("n_total") - F.col("n_below") - F.col("n")
-    return running_counts(df, cols, by).select(
-        *by, "column", "value", "n", (below + (F.col("n") + 1) / 2).alias("avg_rank"))
+    return running_counts(df, cols, by).select(*by, "column", "value", "n", average_rank(descending).alias("avg_rank"))
 
 
 def percent_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Share of rows strictly below each distinct value, over n - 1: ``(column, value, n, pct_rank)``."""
-    others = F.col("n_total") - 1
-    return running_counts(df, cols).select(
-        "column", "value", "n",
-        F.when(others > 0, F.col("n_below") / others).otherwise(F.lit(0.0)).alias("pct_rank"))
+    return running_counts(df, cols).select("column", "value", "n", percent_rank().alias("pct_rank"))

@@ -264,36 +264,48 @@ def bootstrap_corr(df: DataFrame, cols: Sequence[str], y: str, id: str, resample
     """Percentile interval of each Pearson correlation under resampling of rows.
 
     Each row gets a Poisson(1) weight per resample, drawn from a hash of its id, so the draw does not
-    depend on partitioning. Weighted sums are combined before the shuffle: what moves is one row per
-    task and resample.
+    depend on partitioning. A task turns a few rows at a time into a matrix of weights, multiplies it
+    with their products and sends on one row per column and resample.
     """
-    # P(X <= k) for Poisson(1), k = 0..8
-    cdf, total = [], 0.0
-    for k in range(9):
-        total += math.exp(-1) / math.factorial(k)
-        cdf.append(total)
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in dict.fromkeys([*cols, y])]).alias("m")).scalar()
-    centred = df.select(id, means.alias("_m"), *dict.fromkeys([*cols, y])).select(
-        id, *[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in dict.fromkeys([*cols, y])])
-    drawn = centred.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(id), F.col("_b"), F.lit(seed)), 11)
-         * F.lit(2.0 ** -53))
-    weight = sum([(F.col("_u") > edge).cast("int") for edge in cdf[1:]], (F.col("_u") > cdf[0]).cast("int"))
-    weighted = (drawn.withColumn("_u", u).withColumn("_w", weight.cast("double")).filter("_w > 0"))
-
-    def sums(c: str) -> Column:
-        both = F.col(c).isNotNull() & F.col(y).isNotNull()
-        terms = {"w": F.lit(1.0), "x": F.col(c), "y": F.col(y), "xx": F.col(c) * F.col(c),
-                 "yy": F.col(y) * F.col(y), "xy": F.col(c) * F.col(y)}
-        return F.struct(*[F.sum(F.when(both, F.col("_w") * t)).alias(k) for k, t in terms.items()])
-
-    per = per_column(weighted, cols, {"s": sums}, by=["_b"])
-    s = {k: F.col(f"s.{k}") for k in ("w", "x", "y", "xx", "yy", "xy")}
+    cols = list(cols)
+    cdf = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)])
+    used = list(dict.fromkeys([*cols, y]))
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in used]).alias("m")).scalar()
+    centred = df.select(F.xxhash64(F.col(id), F.lit(seed)).alias("_h"), means.alias("_m"), *used).select(
+        "_h", *[(F.col(c) - F.col(f"_m.{c}")).cast("double").alias(c) for c in used])
+    names = ["w", "x", "y", "xx", "yy", "xy"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((resamples, 6 * len(cols)))
+        steps = np.arange(1, resamples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.iloc[at:at + 1024]
+                z = part["_h"].to_numpy().astype(np.int64).view(np.uint64)[:, None] + steps[None, :]
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                    z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+                u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0 ** -53
+                weight = np.searchsorted(cdf, u).astype(float)
+                b = part[y].to_numpy(float)
+                terms = []
+                for c in cols:
+                    a = part[c].to_numpy(float)
+                    both = ~(np.isnan(a) | np.isnan(b))
+                    p, q = np.where(both, a, 0.0), np.where(both, b, 0.0)
+                    terms += [both.astype(float), p, q, p * p, q * q, p * q]
+                total += weight.T @ np.stack(terms, 1)
+        for k, c in enumerate(cols):
+            yield pd.DataFrame({"column": c, "_b": np.arange(resamples),
+                                **{n: total[:, 6 * k + i] for i, n in enumerate(names)}})
+
+    per = centred.mapInPandas(run, "column string, _b long, " + ", ".join(f"{n} double" for n in names)).groupBy(
+        "column", "_b").agg(*[F.sum(n).alias(n) for n in names])
+    s = {n: F.col(n) for n in names}
     cov = s["xy"] - s["x"] * s["y"] / s["w"]
     spread = F.sqrt((s["xx"] - s["x"] * s["x"] / s["w"]) * (s["yy"] - s["y"] * s["y"] / s["w"]))
     tail = (1 - level) / 2
     # at most `resamples` values per column
-    return (per.withColumn("r", cov / F.nullif(spread, F.lit(0.0)))
+    return (per.filter("w > 0").withColumn("r", cov / F.nullif(spread, F.lit(0.0)))
             .groupBy("column").agg(F.count("r").alias("resamples"), F.avg("r").alias("mean_r"),
                                    F.percentile("r", tail).alias("ci_low"),
                                    F.percentile("r", 1 - tail).alias("ci_high")))

@@ -224,22 +224,30 @@ def oof_verdict(df: DataFrame, fold: str, threshold: float | None = None, roles:
     """Out-of-fold verdicts: twins refitted per fold, duplicates found within the held-out fold.
 
     Needs folds that keep duplicate groups together. Without a threshold one is derived from the twin
-    of all Valid rows.
+    of all Valid rows. ``fold_left_out`` is false where the other folds had fewer than ``min_rows``
+    rows, so that the row was judged by the twin of all Valid rows, its own included.
     """
     twins = fold_twins(df, fold, roles, degree, alpha, min_rows)
+    thin = [g for g, t in twins.items() if g is not None and t is twins[None]]
     if threshold is None:
         threshold = derive_threshold(valid_rows(df, roles), twins[None], k)
     marked = is_duplicate(df, [fold, *duplicate_keys(df, roles)])
     out = _residuals(with_fold_expectations(marked, twins, fold), roles.sensors, "expected_")
     out = out.withColumn("bucket", fault_bucket(threshold, roles.sensors))
-    return out.withColumn("verdict", F.when(F.col("bucket") == "none", roles.valid).otherwise(roles.invalid))
+    return out.withColumn("verdict", F.when(F.col("bucket") == "none", roles.valid).otherwise(roles.invalid)).withColumn(
+        "fold_left_out", ~F.col(fold).isin(thin) if thin else F.lit(True))
 
 
 def attention(scored: DataFrame, threshold: float, prediction: str, roles: Roles = Roles()) -> DataFrame:
-    """Mean of four parts in 0–1: verdict, residual over threshold, missing share, prediction rank."""
+    """Mean of four parts in 0–1: verdict, residual over threshold, missing share, prediction rank.
+
+    The scored rows are written once, since their ranks come back to them.
+    """
     from plumbline.operators.ordered import percent_ranks
     from plumbline.operators.skew import attach_groups
+    from plumbline.sources.shared import settled
 
+    scored = settled(scored, "scored")
     ranks = percent_ranks(scored, [prediction]).select(F.col("value").alias(prediction), "n",
                                                        F.col("pct_rank").alias("part_prediction"))
     sensors = [c for c in roles.all_sensors if c in scored.columns]

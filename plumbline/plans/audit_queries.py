@@ -296,11 +296,10 @@ def row_ranks(spark, sf_dir):
     from plumbline.operators.skew import attach_groups
 
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    key = F.col("value").alias("o_totalprice")
-    ranks = ordered.average_ranks(orders, ["o_totalprice"], descending=True).select(key, "n", "avg_rank")
-    shares = ordered.percent_ranks(orders, ["o_totalprice"]).select(key, "n", "pct_rank")
-    ranked = attach_groups(orders, ranks, ["o_totalprice"], "n").drop("n")
-    return attach_groups(ranked, shares, ["o_totalprice"], "n").select(
+    ranks = ordered.running_counts(orders, ["o_totalprice"]).select(
+        F.col("value").alias("o_totalprice"), "n", ordered.average_rank(descending=True).alias("avg_rank"),
+        ordered.percent_rank().alias("pct_rank"))
+    return attach_groups(orders, ranks, ["o_totalprice"], "n").select(
         "o_orderkey", "avg_rank", F.round("pct_rank", 12).alias("pct_rank"))
 
 
@@ -334,27 +333,27 @@ def _grid_sql(c, bins_, lo, hi):
 
 
 @query(union_all(f"""SELECT label, '{c}' AS "column", {_grid_sql(c, 40, "lo", "hi")} AS bin,
-       round(any_value(lo) + {_grid_sql(c, 40, "lo", "hi")} * ((any_value(hi) - any_value(lo)) / 40), 9) AS "left",
+       round(any_value(lo) + {_grid_sql(c, 40, "lo", "hi")} * ((any_value(hi) - any_value(lo)) / 40), 7) AS "left",
        count(*) AS n, round(CAST(count(*) AS DOUBLE) / (any_value(t) * ((any_value(hi) - any_value(lo)) / 40)), 9) AS density
        FROM bench JOIN (SELECT label, count({c}) AS t FROM bench GROUP BY label) USING (label),
             (SELECT min({c}) AS lo, max({c}) AS hi FROM bench)
-       WHERE {c} IS NOT NULL GROUP BY label, {_grid_sql(c, 40, "lo", "hi")}""" for c in ("s1", "s4", "voltage")))
+       WHERE {c} IS NOT NULL GROUP BY label, {_grid_sql(c, 40, "lo", "hi")}""" for c in NUM))
 def histograms_by_label(spark, sf_dir):
-    out = bins.histogram(bench(spark, sf_dir), ["s1", "s4", "voltage"], 40, by=["label"], density=True)
-    return _rounded(out, ["left", "density"], 9)
+    out = bins.histogram(bench(spark, sf_dir), NUM, 40, by=["label"], density=True)
+    return _rounded(_rounded(out, ["left"], 7), ["density"], 9)
 
 
-@query("""WITH e AS (SELECT min(s1) AS lo, max(s1) AS hi FROM bench),
-       s AS (SELECT split, count(s1) AS n, stddev_samp(s1) * pow(count(s1), -0.2e0) AS h FROM bench GROUP BY split),
-       b AS (SELECT split, least(floor((s1 - lo) / (hi - lo) * 400), 399) AS bin, count(*) AS m
-             FROM bench, e WHERE s1 IS NOT NULL GROUP BY ALL)
-       SELECT split, 's1' AS "column", CAST(point AS INTEGER) AS point,
+@query(union_all(f"""SELECT * FROM (WITH e AS (SELECT min({c}) AS lo, max({c}) AS hi FROM bench),
+       s AS (SELECT split, count({c}) AS n, stddev_samp({c}) * pow(count({c}), -0.2e0) AS h FROM bench GROUP BY split),
+       b AS (SELECT split, least(floor(({c} - lo) / (hi - lo) * 400), 399) AS bin, count(*) AS m
+             FROM bench, e WHERE {c} IS NOT NULL GROUP BY ALL)
+       SELECT split, '{c}' AS "column", CAST(point AS INTEGER) AS point,
          round(any_value(lo + point * (hi - lo) / 49), 9) AS x,
          round(sum(m / (n * h * sqrt(2 * pi())) * exp(-0.5e0 * pow((lo + point * (hi - lo) / 49
            - (lo + bin * ((hi - lo) / 400) + (hi - lo) / 400 / 2)) / h, 2))), 9) AS density
-       FROM b JOIN s USING (split), e, (SELECT unnest(range(50)) AS point) GROUP BY split, point""")
+       FROM b JOIN s USING (split), e, (SELECT unnest(range(50)) AS point) GROUP BY split, point)""" for c in NUM))
 def density_by_split(spark, sf_dir):
-    return _rounded(bins.kde(bench(spark, sf_dir), ["s1"], by=["split"]), ["x", "density"], 9)
+    return _rounded(bins.kde(bench(spark, sf_dir), NUM, by=["split"]), ["x", "density"], 9)
 
 
 @query(union_all(f"""SELECT label, '{c}' AS "column", count({c}) AS n, round(any_value(q1), 9) AS q1, round(any_value(md), 9) AS median,

@@ -178,7 +178,8 @@ def hashed_group_folds(spark, sf_dir):
     return folds.fold_sizes(df).withColumn("straddling_groups", leaks)
 
 
-@query()
+@query("""SELECT CAST(fold AS INTEGER) AS fold, label, n // 5 + CAST(fold < n % 5 AS INTEGER) AS n
+       FROM (SELECT label, count(*) AS n FROM bench GROUP BY label), (SELECT unnest(range(5)) AS fold)""")
 def stratified_fold_counts(spark, sf_dir):
     df = folds.stratified_kfold(bench(spark, sf_dir), "test_id", "label", 5)
     return df.groupBy("fold", "label").agg(F.count("*").alias("n"))
@@ -198,9 +199,11 @@ def fold_join(spark, sf_dir):
     return folds.with_fold(rows, table_folds, "o_custkey").select("o_orderkey", "o_custkey", "fold")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("""SELECT c_custkey FROM customer
+       WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_custkey % 7 <> 3)""")
 def rows_without_match(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without an order, the orders of every seventh customer being taken away."""
+    orders = table(spark, sf_dir, "orders").filter("o_custkey % 7 <> 3").select(F.col("o_custkey").alias("c_custkey"))
     return folds.unmatched(table(spark, sf_dir, "customer").select("c_custkey"), orders, "c_custkey")
 
 
@@ -258,14 +261,17 @@ def standardised(spark, sf_dir):
     return rounded(out, [f"{c}_z" for c in M], 5).select("test_id", *[f"{c}_z" for c in M])
 
 
-@query()
+# the first term is the first scaled setting, whose sum is 0; 4 settings to degree 4 have 69 terms
+@query("SELECT CAST(69 AS INTEGER) AS n_terms, 0e0 AS sum_first, round(sum(z * z), 3) AS sum_square FROM (SELECT (voltage - m) / s AS z "
+       "FROM bench, (SELECT avg(voltage) AS m, stddev_pop(voltage) AS s FROM bench))")
 def polynomial_terms(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     df = models.standardise(bench(spark, sf_dir), OPS)
     out = models.poly(df, [f"{c}_z" for c in OPS], 4)
     terms = vector_to_array("poly")
-    return out.agg(F.max(F.size(terms)).alias("n_terms"), F.round(F.sum(F.get(terms, F.lit(0))), 6).alias("sum_first"))
+    return out.agg(F.max(F.size(terms)).alias("n_terms"), (F.round(F.sum(F.get(terms, F.lit(0))), 3) + 0.0).alias("sum_first"),
+                   F.round(F.sum(F.get(terms, F.lit(1))), 3).alias("sum_square"))
 
 
 def _spline_sql():
@@ -275,13 +281,17 @@ def _spline_sql():
        WHEN {s} >= 1 AND {s} < 2 THEN (-3 * pow({s}, 3) + 12 * pow({s}, 2) - 12 * {s} + 4) / 6
        WHEN {s} >= 2 AND {s} < 3 THEN (3 * pow({s}, 3) - 24 * pow({s}, 2) + 60 * {s} - 44) / 6
        WHEN {s} >= 3 AND {s} < 4 THEN pow(4 - {s}, 3) / 6 ELSE 0 END"""
-    cells = [f"round({piece.format(s=s.format(c='current_a', i=i))}, 8) + 0e0 AS current_a_sp{i}" for i in range(7)]
-    return f"SELECT test_id, {', '.join(cells)} FROM bench, (SELECT min(current_a) AS lo, max(current_a) AS hi FROM bench)"
+    cells, ends = [], []
+    for c in OPS:
+        at = s.replace("lo", f"{c}_lo").replace("hi", f"{c}_hi")
+        cells += [f"CASE WHEN {c} IS NOT NULL THEN round({piece.format(s=at.format(c=c, i=i))}, 8) + 0e0 END AS {c}_sp{i}" for i in range(7)]
+        ends.append(f"min({c}) AS {c}_lo, max({c}) AS {c}_hi")
+    return f"SELECT test_id, {', '.join(cells)} FROM bench, (SELECT {', '.join(ends)} FROM bench)"
 
 
 @query(_spline_sql())
 def spline_basis(spark, sf_dir):
-    out, names = models.spline_columns(bench(spark, sf_dir), ["current_a"])
+    out, names = models.spline_columns(bench(spark, sf_dir), OPS)
     return rounded(out, names, 8).select("test_id", *names)
 
 

@@ -37,9 +37,9 @@ RANKED = ("(rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1)
 
 @query(union_all(f"""SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(ra, rb), 9) AS r FROM (
        SELECT {RANKED.format(c=a)} AS ra, {RANKED.format(c=b)} AS rb FROM bench
-       WHERE {a} IS NOT NULL AND {b} IS NOT NULL)""" for a, b in combinations(["current_a", *SENSORS, "ref"], 2)))
+       WHERE {a} IS NOT NULL AND {b} IS NOT NULL)""" for a, b in combinations(NUM, 2)))
 def spearman_matrix(spark, sf_dir):
-    out = stats.spearman_matrix(bench(spark, sf_dir), ["current_a", *SENSORS, "ref"], "test_id")
+    out = stats.spearman_matrix(bench(spark, sf_dir), NUM, "test_id")
     return rounded(out, ["r"], 9)
 
 
@@ -96,12 +96,12 @@ def polynomial_r2(spark, sf_dir):
     return stats.poly_fit(bench(spark, sf_dir), M, "ref").select("column", "degree", F.round("r2", 8).alias("r2"))
 
 
-@query(union_all(f"""SELECT 'current_a' AS "column", CAST(point AS INTEGER) AS point, round(x, 8) AS x,
+@query(union_all(f"""SELECT '{c}' AS "column", CAST(point AS INTEGER) AS point, round(x, 8) AS x,
        round(b0 + b1 * x, 6) AS y FROM (SELECT point, lo + point * (hi - lo) / 49 AS x, b0, b1 FROM
-       (SELECT min(current_a) AS lo, max(current_a) AS hi, regr_slope(ref, current_a) AS b1,
-        regr_intercept(ref, current_a) AS b0 FROM bench), (SELECT unnest(range(50)) AS point))""" for _ in (1,)))
+       (SELECT min({c}) AS lo, max({c}) AS hi, regr_slope(ref, {c}) AS b1,
+        regr_intercept(ref, {c}) AS b0 FROM bench), (SELECT unnest(range(50)) AS point))""" for c in M))
 def straight_trend(spark, sf_dir):
-    out = stats.trend_curve(bench(spark, sf_dir), ["current_a"], "ref", degrees=(1,))
+    out = stats.trend_curve(bench(spark, sf_dir), M, "ref", degrees=(1,))
     return out.select("column", "point", F.round("x", 8).alias("x"), F.round("y", 6).alias("y"))
 
 
@@ -156,10 +156,10 @@ def partial_correlation(spark, sf_dir):
     return rounded(stats.partial_corr(bench(spark, sf_dir), SENSORS, "ref", OPS), ["partial_r"], 8)
 
 
-def _vif_sql():
+def _vif_sql(pair="sum({a} * {b})"):
     ctes, last = sweep_ctes("g", 8, range(8))
     there = " AND ".join(f"{c} IS NOT NULL" for c in M)
-    moments = moment_cte("g", f"(SELECT * FROM bench WHERE {there})", M, "sum({a} * {b})")
+    moments = moment_cte("g", f"(SELECT * FROM bench WHERE {there})", M, pair)
     picks = union_all(f"""SELECT '{c}' AS "column", round(-g.{entry(i, i)} * x.{entry(i, i)}, 5) AS vif FROM g, {last} AS x"""
                       for i, c in enumerate(M))
     return f"WITH {', '.join([moments, *ctes])} SELECT * FROM ({picks})"
@@ -170,14 +170,14 @@ def inflation_factors(spark, sf_dir):
     return rounded(stats.vif(bench(spark, sf_dir), M), ["vif"], 5)
 
 
-@query()
+@query(_vif_sql("covar_pop({a}, {b})"))
 def inflation_factors_centred(spark, sf_dir):
-    return stats.vif(bench(spark, sf_dir), M, intercept=True)
+    return rounded(stats.vif(bench(spark, sf_dir), M, intercept=True), ["vif"], 5)
 
 
 @query()
 def bootstrap_intervals(spark, sf_dir):
-    return stats.bootstrap_corr(train(spark, sf_dir), M, "ref", "test_id", resamples=50)
+    return stats.bootstrap_corr(train(spark, sf_dir), M, "ref", "test_id")
 
 
 @query(union_all(f"""SELECT '{c}' AS "column", count(r) AS folds, round(avg(r), 8) AS mean_r, round(stddev_pop(r), 8) AS std_r

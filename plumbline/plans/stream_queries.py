@@ -62,17 +62,57 @@ def stream_bucket_counts(spark, sf_dir):
     return latest.select(F.date_format("span.start", "yyyy-MM-dd HH").alias("hour"), "bucket", "n")
 
 
+def arriving(spark, sf_dir):
+    """The events in three files, the last with rows of the first days that come too late.
+
+    A micro-batch drops what the watermark of the one before it has passed, so it takes two to make rows late.
+    """
+    path, day = shared_folder(spark, "arrivals"), F.to_date("ts")
+    rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first = rows.agg(F.min(day)).scalar()
+    late = (F.col("event_id") % 9 == 4) & (day <= F.date_add(first, 5))
+    even = F.col("event_id") % 2 == 0
+    for part in (rows.filter(~late & even), rows.filter(~late & ~even), rows.filter(late)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+ARRIVING_SQL = f"""{SCORED_SQL}, d AS (SELECT *, event_id % 9 = 4 AND CAST(ts AS DATE) <= (SELECT min(CAST(ts AS DATE)) FROM events) + 5
+       AS late FROM s), w AS (SELECT max(ts) - INTERVAL 1 HOUR AS wm,
+       max(ts) FILTER (event_id % 2 = 0) - INTERVAL 1 HOUR AS before FROM d WHERE NOT late)"""
+
+
+@query(f"""WITH {ARRIVING_SQL}, g AS (SELECT date_trunc('hour', ts) AS hour, bucket, late FROM d)
+       SELECT (SELECT count(*) FROM events) AS rows_read,
+       (SELECT count(DISTINCT (hour, bucket)) FROM g, w WHERE late AND hour + INTERVAL 1 HOUR <= before) AS groups_late,
+       (SELECT count(DISTINCT (hour, bucket)) FROM g, w WHERE NOT late AND hour + INTERVAL 1 HOUR > wm) AS groups_open""")
+def stream_late_and_open(spark, sf_dir):
+    """What a windowed count dropped as late and what it still holds back when the data ends."""
+    out = live.bucket_counts(live.score_stream(arriving(spark, sf_dir), TWIN, 20.0), "ts", "1 hour", "1 hour")
+    _, counts = live.run_available(out, shared_folder(spark, "emitted"), shared_folder(spark, "stream"), "append")
+    return spark.createDataFrame([(counts.rows_read, counts.groups_late, counts.groups_open)],
+                                 "rows_read bigint, groups_late bigint, groups_open bigint")
+
+
+@query(f"""WITH {ARRIVING_SQL}, h AS (SELECT date_trunc('hour', ts) AS h, bucket, count(*) AS n FROM d WHERE NOT late GROUP BY ALL)
+       SELECT strftime(h, '%Y-%m-%d %H') AS hour, bucket, n FROM h, w WHERE h + INTERVAL 1 HOUR <= wm""")
+def stream_closed_counts(spark, sf_dir):
+    """Counts of windows that no row can change any more, each emitted once."""
+    out = live.bucket_counts(live.score_stream(arriving(spark, sf_dir), TWIN, 20.0), "ts", "1 hour", "1 hour")
+    return run(spark, out, "append").select(F.date_format("span.start", "yyyy-MM-dd HH").alias("hour"), "bucket", "n")
+
+
 @query(f"""WITH {SCORED_SQL}, a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR
          THEN 0 ELSE 1 END AS fresh FROM s WHERE bucket = 'spike'),
        g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM a)
        SELECT user_id, count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_alarm,
-         strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_alarm FROM g GROUP BY user_id, k""")
+         strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_alarm FROM g GROUP BY user_id, k
+       HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM a)""")
 def stream_alarm_episodes(spark, sf_dir):
+    """Episodes that are over, each emitted once; the state holds only those that may go on."""
     out = live.alarm_sessions(scored(spark, sf_dir), F.col("bucket") == "spike", "ts", "6 hours", "1 hour", ["user_id"])
     form = "yyyy-MM-dd HH:mm:ss"
-    emitted = run(spark, out, "complete")
-    last = emitted.agg(F.max("emission")).scalar()
-    return emitted.filter(F.col("emission") == last).select(
+    return run(spark, out, "append").select(
         "user_id", "n", F.date_format("first_alarm", form).alias("first_alarm"), F.date_format("last_alarm", form).alias("last_alarm"))
 
 

@@ -5,6 +5,7 @@ polynomial twin is checked against the planted truth by the tests.
 """
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import rowwise as rw
@@ -217,10 +218,19 @@ def submission_rows(spark, sf_dir):
     return sinks.submission(pred, template, "test_id", ["test_id", "predicted", "verdict"])
 
 
-@query(f"""WITH {LINES}, {REFERENCE} SELECT CAST(0 AS BIGINT) AS missing_ids, CAST(0 AS BIGINT) AS extra_ids, CAST(0 AS BIGINT) AS bad_values,
-       CAST(0 AS BIGINT) AS bad_labels, count(*) - count(DISTINCT test_id) AS repeated_ids FROM att -- of bench""")
+@query("""WITH t AS (SELECT abs(test_id) AS a, count(*) OVER (PARTITION BY test_id) AS c FROM bench WHERE split = 'test')
+       SELECT count(*) FILTER (c > 1 OR a % 7 = 1 OR a % 19 = 2) AS missing_ids,
+       count(*) FILTER (c = 1 AND a % 7 <> 1 AND a % 19 = 2) AS extra_ids,
+       count(*) FILTER (c = 1 AND a % 7 <> 1 AND a % 11 = 3) AS bad_values,
+       count(*) FILTER (c = 1 AND a % 7 <> 1 AND a % 13 = 4) AS bad_labels, CAST(0 AS BIGINT) AS repeated_ids FROM t""")
 def submission_checks(spark, sf_dir):
-    pred = attended(spark, sf_dir)
+    """Planted faults: missing ids, unknown ids, NaN values and unknown labels are all counted."""
+    a = F.abs("test_id")
+    once = Window.partitionBy("test_id")
+    pred = attended(spark, sf_dir).withColumn("_c", F.count("*").over(once)).filter("_c = 1").filter(a % 7 != 1).select(
+        F.when(a % 19 == 2, F.col("test_id") * 1000 + 7).otherwise(F.col("test_id")).alias("test_id"),
+        F.when(a % 11 == 3, F.lit(float("nan"))).otherwise(F.col("predicted")).alias("predicted"),
+        F.when(a % 13 == 4, "maybe").otherwise(F.col("verdict")).alias("verdict"))
     return sinks.submission_problems(pred, test(spark, sf_dir).select("test_id"), "test_id", "predicted", "verdict")
 
 

@@ -6,10 +6,12 @@ rows by key; ``upsert_latest`` keeps the last value per key.
 """
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from plumbline.functions import rowwise as rw
 from plumbline.operators.twin import LineTwin, Twin, with_residuals
@@ -81,24 +83,54 @@ def recalibration_sink(sdf: DataFrame, path: str, checkpoint: str, trigger: dict
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def progress_counts(query) -> dict[str, int]:
-    """Rows read, and rows dropped as later than the watermark, over a query's retained progress."""
-    reports = query.recentProgress
-    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in reports for op in p.get("stateOperators", []))
-    return {"rows_read": sum(p.get("numInputRows", 0) for p in reports), "rows_late": late}
+class StreamCounts(StreamingQueryListener):
+    """Counts over all of a query's progress reports, however many: register it before the query starts.
+
+    ``rows_read``; ``groups_late``, groups of a batch that came after the watermark and were dropped;
+    ``groups_open``, groups in the state that may still change.
+    """
+
+    def __init__(self):
+        self.rows_read = self.groups_late = self.groups_open = 0
+        self._ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        self._ended.clear()
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        self.rows_read += max(report.numInputRows, 0)
+        self.groups_late += sum(op.numRowsDroppedByWatermark for op in report.stateOperators)
+        self.groups_open = sum(op.numRowsTotal for op in report.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.set()
+
+    def wait(self, seconds: float = 60.0) -> StreamCounts:
+        if not self._ended.wait(seconds):
+            raise TimeoutError("the query's last report did not arrive")
+        return self
 
 
-def run_available(sdf: DataFrame, path: str, checkpoint: str, mode: str) -> tuple[DataFrame, object]:
+def run_available(sdf: DataFrame, path: str, checkpoint: str, mode: str) -> tuple[DataFrame, StreamCounts]:
     """Run a stream over what is there and write every emission, with its batch number, to ``path``."""
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("emission", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    query = (sdf.writeStream.outputMode(mode).foreachBatch(emit).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    spark = sdf.sparkSession
-    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").drop("batch"), query
+    spark, counts = sdf.sparkSession, StreamCounts()
+    spark.streams.addListener(counts)
+    try:
+        query = (sdf.writeStream.outputMode(mode).foreachBatch(emit).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        counts.wait()
+    finally:
+        spark.streams.removeListener(counts)
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").drop("batch"), counts
 
 
 def upsert_latest(emitted: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,22 +1,10 @@
-"""Registered queries against their SQL. All of them with PLUMBLINE_ALL=1, otherwise a spread."""
-import os
+"""All registered queries that SQL can check, against their SQL."""
 
 import pytest
 
 import oracle
 
-QUICK = ["schema_and_missing", "duplicate_conflicts", "near_duplicates", "duplicate_marks", "clipping", "extreme_values",
-         "describe_columns", "box_statistics", "row_ranks", "pearson_matrix", "train_test_drift", "mutual_information_target",
-         "sensor_statistics", "feature_set_means", "ridge_from_products", "ranking_scores", "line_verdicts", "twin_verdicts",
-         "stream_duplicates", "stream_alarm_episodes"]
-
-
-def _names():
-    if os.environ.get("PLUMBLINE_ALL"):
-        from plumbline.plans.all_queries import ORACLES
-
-        return list(ORACLES)
-    return QUICK
+from plumbline.plans.all_queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -24,10 +12,8 @@ def con(small):
     return oracle.connect(small)
 
 
-@pytest.mark.parametrize("name", _names())
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, small, con, name):
-    from plumbline.plans.all_queries import ORACLES, QUERIES
-
     assert oracle.compare(spark, con, small, QUERIES[name], ORACLES[name]) is None
 
 
