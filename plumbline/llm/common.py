@@ -15,6 +15,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 4096
 
 
+def whole_texts(texts: pa.Array) -> pa.Array:
+    """Large strings without nulls that start at the beginning of their buffer.
+
+    Arrow's ``ascii_lower`` returns other rows' bytes for a slice of an array, so a slice is copied.
+    """
+    if texts.offset:
+        texts = texts.take(pa.array(np.arange(len(texts))))
+    return texts.cast(pa.large_string()).fill_null("")
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``most`` bytes, or one row that holds more.
 

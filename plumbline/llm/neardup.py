@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import slices
+from plumbline.llm.common import slices, whole_texts
 from plumbline.llm.components import components
 from plumbline.operators.skew import attach_groups
 from plumbline.sources.shared import settled
@@ -34,7 +34,7 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     A-Z are lower-cased; a text of fewer words is one shingle, which no longer text's equals; a null
     text or one without words has none. Each distinct word of the batch is hashed once.
     """
-    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")))
+    words = pc.ascii_split_whitespace(pc.ascii_lower(whole_texts(texts)))
     offsets = np.asarray(words.offsets, np.int64) - words.offsets[0].as_py()
     coded = words.flatten().dictionary_encode()
     names = coded.dictionary.to_pylist()
@@ -103,7 +103,8 @@ def inverted_lists(reps: DataFrame) -> DataFrame:
     Values of one document link nothing, but count as its rarest.
     """
     postings = reps.select("rep", "n_shingles", F.explode("sketch").alias("value"))
-    shared = postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df >= 2")
+    # written before it is joined, so that Spark can split the tasks of a value that very many documents retain
+    shared = settled(postings.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df >= 2"), "shared-values")
     listed = (postings.join(shared, "value").groupBy("rep", "n_shingles")
               .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared")))
     rarest = F.greatest(F.size("shared") - (least_shared(F.col("n_shingles")) - 1), F.lit(0)).cast("int")
@@ -210,7 +211,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def links_between(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
     """Links (``a``, ``b``) that join all linked documents of ``reps``."""
     lists = settled(inverted_lists(reps), "lists")
-    pivots = lists.groupBy("value").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pivots = settled(lists.groupBy("value").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "pivots")
     members = settled(lists.join(pivots.select("value", "pivot"), "value").filter("rep <> pivot")
                       .select("pivot", "rep").distinct(), "pivot-members")
     needed = (members.select("rep").union(members.select(F.col("pivot").alias("rep"))).distinct()

@@ -173,7 +173,8 @@ def repeat_starts(docs: DataFrame, length: int, window: int, group: int) -> Data
     """``doc_id``, ``digest`` and ``ranges`` (struct of first and last start) of strings that start elsewhere too."""
     rows = settled(anchor_rows(docs, length, window), "anchors")
     anchors = rows.select("row_id", F.explode("anchors").alias("a")).select("row_id", "a.*")
-    cores = anchors.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # written before it is joined: only then can Spark split the tasks of a core that very many anchors share
+    cores = settled(anchors.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "cores")
     repeated = settled(anchors.join(cores, "core"), "repeated-anchors")
     # anchors whose whole hull repeats are done; of the others and what they may equal, one each goes on
     hulls = settled(repeated.groupBy("core", "hull").agg(

@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import whole_texts
+
 # Distinct pieces a Python worker remembers; beyond it starts afresh, so memory stays bounded.
 REMEMBERED = 600_000
 _TOKENIZERS: dict = {}
@@ -71,7 +73,7 @@ class PreTokenCounts:
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text: pre-tokens are coded over the batch, counted once, joined by code and summed."""
-        texts = texts.cast(pa.large_string()).fill_null("")
+        texts = whole_texts(texts)
         total = np.zeros(len(texts), np.int64)
         odd = np.fromiter((self.irregular(t) for t in texts.to_pylist()), bool, len(texts))
         for i in np.flatnonzero(odd):
@@ -184,7 +186,7 @@ class ChunkIds:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text's followed by ``end_id``, and the offsets of texts."""
-        texts = texts.cast(pa.large_string()).fill_null("")
+        texts = whole_texts(texts)
         plain = pc.invert(pc.match_substring(texts, "<|"))
         lowered = pc.if_else(plain, pc.ascii_lower(texts), texts)  # special strings are read before lower case
         chunks = pc.ascii_split_whitespace(lowered)

@@ -3,9 +3,11 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 import plumbline.llm.neardup as neardup
+from plumbline.llm.common import slices
 from plumbline.llm.components import components
 from plumbline.llm.exactdup import exact_duplicates, without_duplicates
 from plumbline.llm.neardup import near_duplicates, without_near_duplicates
@@ -71,6 +73,17 @@ def brute_components(rows):
     return [(d, len(s), least[root(i)] if s else d) for i, (d, s) in enumerate(sets)]
 
 
+def test_slices_of_a_batch_have_their_own_shingles():
+    rng = random.Random(8)
+    texts = [None if i % 11 == 3 else prose(rng, i % 40).title() + " é" for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts, pa.string())], ["i", "text"])
+    parts = list(slices([batch], "text", most=500))
+    assert len(parts) > 50 and [i for p in parts for i in p.column("i").to_pylist()] == list(range(300))
+    cut = [s for p in parts for s in neardup.shingle_sets(p.column("text"))]
+    assert [len(s) for s in cut] == [len(shingles(t)) for t in texts]
+    assert all((a == b).all() for a, b in zip(cut, neardup.shingle_sets(batch.column("text"))))
+
+
 @pytest.fixture(scope="module")
 def copies():
     rng = random.Random(11)
