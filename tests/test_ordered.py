@@ -56,16 +56,15 @@ def test_average_and_percent_ranks(data):
     assert all(abs(pct[v] - low[v]) < 1e-15 for v in pct)
 
 
-@pytest.mark.parametrize("few", [10_000, 3])
-def test_attach_groups_keeps_every_row(data, few, monkeypatch):
+@pytest.mark.parametrize("share", [1024, 2])
+def test_attach_groups_keeps_every_row(data, share, monkeypatch):
     pdf, df = data
-    monkeypatch.setattr(skew, "FEW_GROUPS", few)
+    monkeypatch.setattr(skew, "HOT_SHARE", share)
     keyed = df.withColumn("k", F.when(F.col("b").isNull(), None).otherwise(F.col("g"))).select("id", "a", "k")
     sizes = keyed.groupBy("a", "k").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    for expect in (True, False):
-        out = skew.attach_groups(keyed, sizes, ["a", "k"], "n", expect_few=expect)
-        assert out.count() == len(pdf) and out.filter("first is null").isEmpty()
-        assert out.agg(F.sum(1 / F.col("n"))).first()[0] == pytest.approx(sizes.count())
+    out = skew.attach_groups(keyed, sizes, ["a", "k"], "n")
+    assert out.count() == len(pdf) and out.filter("first is null").isEmpty()
+    assert out.agg(F.sum(1 / F.col("n"))).first()[0] == pytest.approx(sizes.count())
 
 
 def test_qcut_matches_pandas(data):
