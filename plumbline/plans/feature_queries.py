@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from plumbline.operators import audit, features, folds, gram, metrics, models, stats
 from plumbline.plans.registry import ROLES, bench, query, table, test, train, union_all
 from plumbline.plans.sql_matrix import entry, moment_cte, sweep_ctes
-from plumbline.sources import sinks
+from plumbline.sources import sinks, tables
+from plumbline.sources.shared import shared_folder
 
 OPS, SENSORS, M, NUM = list(ROLES.settings), ROLES.all_sensors, ROLES.measurements, ROLES.numeric
 PAIRS = list(combinations(SENSORS, 2))
@@ -77,12 +78,12 @@ def _rounded_features(df, names):
 @query(_features_sql(ELECTRICAL_SQL))
 def electrical_features(spark, sf_dir):
     df = features.hstack(bench(spark, sf_dir), features.electrical(ROLES))
-    return _rounded_features(df, features.ELECTRICAL)
+    return _rounded_features(df, features.electrical_names(ROLES))
 
 
 @query(_features_sql(STATS_SQL))
 def sensor_statistics(spark, sf_dir):
-    return _rounded_features(features.row_features(bench(spark, sf_dir), ROLES), features.SENSOR_AGGREGATES)
+    return _rounded_features(features.row_features(bench(spark, sf_dir), ROLES), features.summary_names(SENSORS))
 
 
 @query(_features_sql(PAIR_SQL))
@@ -120,10 +121,11 @@ def feature_catalog(spark, sf_dir):
 
 
 def _set_sql():
-    sets = features.feature_sets(list(ALL_SQL), ROLES)
+    sets = {"all_raw": M, "ops_plus_electrical": [*OPS, *ELECTRICAL_SQL],
+            "sensors_plus_consistency": [*SENSORS, *STATS_SQL, *PAIR_SQL, *CONSENSUS_SQL],
+            "no_S4": [c for c in [*M, *ALL_SQL] if "s4" not in c]}
     rows = [f"""SELECT '{name}' AS feature_set, '{c}' AS "column", round(avg(CAST({ALL_SQL.get(c, c)} AS DOUBLE)), 5) AS mean
-            FROM b3 WHERE split = 'test'""" for name in ("all_raw", "ops_plus_electrical", "sensors_plus_consistency", "no_S4")
-            for c in sets[name]]
+            FROM b3 WHERE split = 'test'""" for name in sets for c in sets[name]]
     return f"WITH {STAGES} SELECT * FROM ({union_all(rows)}) -- of bench"
 
 
@@ -482,3 +484,67 @@ def rank_within_task(spark, sf_dir):
         F.avg("o_totalprice").alias("mean_price"))
     ranked = metrics.rank_within(board, "o_orderstatus", "mean_price")
     return ranked.withColumns({"rank": F.col("rank").cast("long"), "mean_price": F.round("mean_price", 4)})
+
+
+# --- reading back what was written ----------------------------------------------------------------
+@query("SELECT CAST(abs(test_id) % 5 AS INTEGER) AS fold, count(*) AS n, CAST(sum(test_id % 1000) AS BIGINT) AS id_sum FROM bench GROUP BY fold")
+def fold_table_round_trip(spark, sf_dir):
+    """Folds built on first use, saved, and read back the second time."""
+    path = f"{shared_folder(spark, 'folds')}/folds.csv"
+
+    def build(df):
+        return df.select("test_id", (F.abs("test_id") % 5).cast("int").alias("fold"))
+
+    for _ in range(2):
+        saved = tables.get_folds(bench(spark, sf_dir), path, build)
+    return saved.groupBy("fold").agg(F.count("*").alias("n"), F.sum(F.col("test_id") % 1000).alias("id_sum"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderpriority, round(o_totalprice, 2) AS o_totalprice FROM orders")
+def csv_round_trip(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    path = f"{shared_folder(spark, 'csv')}/orders"
+    sinks.write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path).withColumn("o_totalprice", F.round("o_totalprice", 2))
+
+
+@query("SELECT test_id, label, s4 IS NULL AS missing, round(s4, 6) AS s4 FROM bench")
+def json_round_trip(spark, sf_dir):
+    """NULL fields are written too and come back as NULL."""
+    rows = bench(spark, sf_dir).select("test_id", "label", "s4")
+    path = f"{shared_folder(spark, 'json')}/rows"
+    sinks.write_json(rows, path)
+    return spark.read.schema(rows.schema).json(path).select(
+        "test_id", "label", F.col("s4").isNull().alias("missing"), F.round("s4", 6).alias("s4"))
+
+
+def _raises(check) -> bool:
+    try:
+        check()
+    except AssertionError:
+        return True
+    return False
+
+
+@query("""SELECT count(*) FILTER (label <> 'Valid') > 0 AS all_rows_refused, count(*) FILTER (label <> 'Valid' AND label = 'Valid') > 0
+       AS valid_rows_refused, TRUE AS sensors_refused, FALSE AS settings_refused, count(*) FILTER (label = 'Valid') AS n_valid FROM bench""")
+def input_guards(spark, sf_dir):
+    rows = bench(spark, sf_dir)
+    valid = features.valid_rows(rows, ROLES)
+    return valid.agg(F.count("*").alias("n_valid")).select(
+        F.lit(_raises(lambda: features.assert_valid_only(rows, ROLES))).alias("all_rows_refused"),
+        F.lit(_raises(lambda: features.assert_valid_only(valid, ROLES))).alias("valid_rows_refused"),
+        F.lit(_raises(lambda: features.assert_no_sensor(M, ROLES))).alias("sensors_refused"),
+        F.lit(_raises(lambda: features.assert_no_sensor(OPS, ROLES))).alias("settings_refused"), "n_valid")
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) FILTER (split = 'train') AS n_train,
+       count({c}) FILTER (split = 'test') AS n_test FROM bench""" for c in ["test_id", *M]))
+def columns_in_common(spark, sf_dir):
+    """Filled values of the columns that training rows share with test rows, which lack target and label."""
+    left = train(spark, sf_dir).select("test_id", *M, "ref", "label")
+    right = test(spark, sf_dir).select("test_id", *M)
+    both = features.common_columns(left, right)
+    counted = [df.agg(*[F.count(c).alias(c) for c in both]).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias(name)) for c in both]))) for df, name in ((left, "n_train"), (right, "n_test"))]
+    return counted[0].join(counted[1], "column")

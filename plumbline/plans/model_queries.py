@@ -82,7 +82,7 @@ def ablations(spark, sf_dir):
 @query()
 def regression_feature_ranking(spark, sf_dir):
     df, names = engineered(spark, sf_dir)
-    cols = [*M, *features.ELECTRICAL, *features.SENSOR_AGGREGATES, "is_exact_dup", "dup_group_size"]
+    cols = [*M, *features.electrical_names(ROLES), *features.summary_names(SENSORS), "is_exact_dup", "dup_group_size"]
     return ranking.rank_features(df, cols, "ref", "test_id", trees=5, depth=5, boosts=3, boost_depth=4, repeats=1)
 
 
