@@ -11,7 +11,8 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of its own; on a cluster the
-    setting is required, since executors do not share a machine's temporary folder.
+    setting is required, since executors do not share a machine's temporary folder. The folder is
+    deleted through its own file system when the driver ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
@@ -19,7 +20,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="plumbline-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root}/{purpose}-{uuid4().hex}"
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{purpose}-{uuid4().hex}")
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(top)
+    files.deleteOnExit(top)
+    return f"{top.toString()}/data"
 
 
 def settled(df: DataFrame, purpose: str = "table") -> DataFrame:
