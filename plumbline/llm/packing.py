@@ -122,10 +122,9 @@ def pack(docs: DataFrame, path: str, max_tokens: int = 2048, max_segments: int =
     empty table gives no rows, and further columns are not read. Ids are written once to the shared
     folder; only lengths are dealt for packing.
     """
-    path_of, total = path, max_tokens
-    encoded = settled(tokenise(docs, path_of, end_id), "pack-ids")
+    encoded = settled(tokenise(docs, path, end_id), "pack-ids")
     lengths = encoded.select("row_id", F.col("n").alias("tokens"), F.col("n").alias("loss"))
-    placed = place(lengths, total, max_segments, total, cut=True)
+    placed = place(lengths, max_tokens, max_segments, max_tokens, cut=True)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

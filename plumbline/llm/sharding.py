@@ -56,10 +56,10 @@ def hilbert_shards(docs: DataFrame, dims: Sequence[str], shards: int = 40, bits:
     """Add ``curve`` (Hilbert index), ``shard`` and ``slot`` to every row, shards equal to one row.
 
     Each dimension is scaled between its least and greatest value to ``bits`` bits; strings by their
-    first bytes, null as empty or 0. Columns of ``docs`` with the names of the result give way to it. Rows are sorted by curve index, ``ties``, then a hash of all
-    columns, and the order is cut into runs. Files so written hold narrow ranges of every dimension. Equal
-    rows share neighbouring slots. An empty table gives an empty result; fewer rows than shards leave
-    shards empty. ``docs`` is read twice: once for the scales and once for the sort.
+    first bytes, null as empty or 0. Rows are sorted by curve index, ``ties``, then a hash of all
+    columns, and the order is cut into runs, so that files hold narrow ranges of every dimension.
+    Columns of ``docs`` with the names of the result give way to it; equal rows get neighbouring
+    slots. An empty table gives no rows; fewer rows than shards leave shards empty.
     """
     kinds = dict(docs.dtypes)
     kept = [c for c in docs.columns if c not in ("curve", "shard", "slot")]
