@@ -56,14 +56,16 @@ def blocks_of(docs: DataFrame) -> DataFrame:
 def named_by_sort(rows: DataFrame, ties: list[str], purpose: str) -> DataFrame:
     """``rows`` with ``name`` instead of the binary ``key``: its place among the distinct keys.
 
-    One range sort over key and ``ties``, so a key that a third of the rows share is spread over
-    tasks like any other. A task counts the distinct keys it meets and shows its first and last key;
+    One range sort, by two hashes of the key, the key itself and ``ties``. Ranges are cut by hashes
+    and ties alone: what Spark samples on the driver for that stays small however long the keys are,
+    and a key that a third of the rows share is spread over tasks like any other. A task counts the distinct keys it meets and shows its first and last key;
     running sums over the tasks make the counts global, and a key that goes on in the next task
-    keeps its number. Equal keys get equal names and different keys different ones: the keys
-    themselves are compared, not hashes of them.
+    keeps its number. Different keys never get one name, since the keys themselves are compared; equal
+    keys get the same one unless another key has both their hashes, 128 bits, at the end of a task.
     """
     kept = [c for c in rows.columns if c != "key"]
     kept_schema = rows.select(*kept).schema
+    hashed = rows.withColumns({"_h0": F.xxhash64("key"), "_h1": F.xxhash64(F.lit(1), "key")})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, last, count, seen = TaskContext.get().partitionId(), None, 0, 0
@@ -85,7 +87,7 @@ def named_by_sort(rows: DataFrame, ties: list[str], purpose: str) -> DataFrame:
             seen += n
 
     schema = kept_schema.add("_task", "long").add("_seen", "long").add("_local", "long").add("_edge", "binary")
-    counted = settled(rows.repartitionByRange("key", *ties).sortWithinPartitions("key", *ties)
+    counted = settled(hashed.repartitionByRange("_h0", "_h1", *ties).sortWithinPartitions("_h0", "_h1", "key", *ties)
                       .mapInArrow(run, schema), purpose)
     tasks = counted.filter("_edge is not null").groupBy("_task").agg(
         F.min_by("_edge", "_seen").alias("first"), F.max_by("_edge", "_seen").alias("last"), F.max("_local").alias("n"))
