@@ -170,25 +170,6 @@ def extrapolation_stress(spark, sf_dir):
     return sinks.stack(*parts)
 
 
-FITTED = [*[f"{kind}_{s}" for kind in ("residual", "abs_residual") for s in SENSORS], "isolation_score"]
-ANY_MISSING = " OR ".join(f"{c} IS NULL" for c in M)
-
-
-@query(" UNION ALL ".join(f"""SELECT '{c}' AS feature, count(*) FILTER (split = 'train' AND ({ANY_MISSING})) AS n_missing_train,
-       count(*) FILTER (split = 'test' AND ({ANY_MISSING})) AS n_missing_test, TRUE AS varies FROM bench""" for c in FITTED))
-def fitted_feature_catalog(spark, sf_dir):
-    """The nine features that need a fitted model: cross-fitted for training rows, fitted on all of them for test rows."""
-    from plumbline.operators import anomaly, audit, crossfit
-    from plumbline.sources.shared import settled
-
-    left, right = folded_train(spark, sf_dir), test(spark, sf_dir)
-    forest = anomaly.fit_isolation(features.valid_rows(left, ROLES), M, "test_id")
-    rows = [settled(df.withColumn("isolation_score", forest.decision()).select(*FITTED), "fitted") for df in (
-        crossfit.cross_residuals(left, SENSORS, OPS, "fold", models.fold_values(left)),
-        crossfit.scoring_residuals(left, right, SENSORS, OPS))]
-    return audit.catalog(*rows, FITTED).select("feature", "n_missing_train", "n_missing_test", (F.col("max") > F.col("min")).alias("varies"))
-
-
 @query()
 def cross_fitted_residuals(spark, sf_dir):
     """Residual of each sensor from the settings and the other sensors, by label."""
