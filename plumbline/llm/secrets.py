@@ -103,11 +103,12 @@ def scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path_col
     todo = (blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
             .withColumn("rules", F.array_except(F.array(*map(F.lit, keys)), "seen")).filter(F.size("rules") > 0))
     todo = settled(todo.select("blob", "path", "seen", "rules"), "secret-todo")
-    # one copy of each blob, joined on blob and path so that a blob with many paths is not one key
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.col(path_col).alias("_path"),
+    # one copy of each blob, joined on blob and path so that a blob with many paths is not one key; rows that
+    # share both are one. A struct equals itself with a null inside, so join and deduplication have the same keys
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.struct(F.col(path_col).alias("path")).alias("_path"),
                         blob_id(F.col("text")).alias("blob"))
-    unseen = texts.join(todo, (texts.blob == todo.blob) & texts["_path"].eqNullSafe(todo.path)).select(
-        todo.blob, "text", "seen")
+    unseen = texts.join(todo.withColumn("_path", F.struct("path")).drop("path"), ["blob", "_path"]).dropDuplicates(
+        ["blob", "_path"]).select("blob", "text", "seen")
     spans_of(unseen, rules).write.mode("append").parquet(f"{ledger}/findings")
     todo.select("blob", "rules").write.mode("append").parquet(f"{ledger}/scanned")
 
