@@ -73,7 +73,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     copies = (queued.join(facts, ["_source", "_bucket"])
               .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
               .withColumn("words", F.greatest(words, F.lit(0)).cast("long"))
-              .withColumn("finish", F.coalesce(F.least(F.lit(1.0), (start + F.col("size")) / F.col("target")), F.lit(1.0)))
+              .withColumn("finish", F.coalesce(F.least(F.lit(1.0), (start + F.col("size")) / F.nullif(F.col("target"), F.lit(0.0))), F.lit(1.0)))
               .withColumn("_range", F.floor(F.col("finish") * buckets).cast("long"))
               .drop("_bucket", "_before"))
     # what no one takes ends at time 1 as well: spread it over ranges of its own

@@ -97,3 +97,14 @@ def test_shards_differ_by_one_row_at_most(spark):
     few = hilbert_shards(spark.range(5).withColumn("c", F.lit(None).cast("string")), ["c", "id"], shards=40).collect()
     assert len({(r.shard, r.slot) for r in few}) == 5
     assert hilbert_shards(spark.range(0), ["id"]).count() == 0
+
+
+def test_a_source_without_words_has_target_0(spark):
+    rows = [(1, "a b c", "x"), (2, None, "empty"), (3, " \n", "empty"), (4, "d e", "y")]
+    got = mix(documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in got) == [1, 1, 2, 2, 3, 3, 4, 4]
+    assert {r.target for r in got if r.doc_id in (2, 3)} == {0.0}
+    assert sum(r.words for r in got) == round(1.5 * 5) and not any(r.words for r in got if r.doc_id in (2, 3))
+    nulls = documents(spark, [(1, None, "x"), (2, "", "y")])
+    assert [(r.target, r.words) for r in mix(nulls).collect()] == [(0.0, 0)] * 4
+    assert mixed(nulls).count() == 0
