@@ -1,6 +1,6 @@
 """Queries that fit models: rankings, baselines, formulas, ablations, target model, anomaly scores.
 
-Tree counts are small so that every query stays quick; the operators' defaults are the full sizes.
+They call the operators with their default sizes, on five folds and all feature sets.
 """
 from __future__ import annotations
 
@@ -11,6 +11,8 @@ from plumbline.plans.registry import ROLES, bench, query, test, train
 from plumbline.sources import sinks
 
 OPS, SENSORS, M, NUM = list(ROLES.settings), ROLES.all_sensors, ROLES.measurements, ROLES.numeric
+# features of a ranking that make up its compact set
+COMPACT = 15
 
 
 def folded_train(spark, sf_dir, k=5):
@@ -28,6 +30,17 @@ def engineered(spark, sf_dir, k=5):
     return df, features.engineered_names(base, df)
 
 
+def ranked(df, names, y, classify=False):
+    return ranking.rank_features(df, [*M, *names], y, "test_id", classify)
+
+
+def all_sets(df, names):
+    """All feature sets; the compact ones are the best of the rankings for either target."""
+    best = [[r["feature"] for r in ranked(df, names, y, classify).limit(COMPACT).collect()]
+            for y, classify in (("ref", False), ("invalid", True))]
+    return features.feature_sets(names, ROLES, *best)
+
+
 @query()
 def polynomial_grid(spark, sf_dir):
     return benchmark.poly_grid(folded_valid(spark, sf_dir), OPS, "ref", "fold")
@@ -36,36 +49,32 @@ def polynomial_grid(spark, sf_dir):
 @query()
 def ridge_feature_sets(spark, sf_dir):
     df, names = engineered(spark, sf_dir)
-    sets = features.feature_sets(names, ROLES)
-    wanted = ["raw_operating", "raw_sensors", "all_raw", "ops_plus_electrical", "sensors_plus_consistency", "all_engineered", "no_S4"]
-    return benchmark.model_comparison(benchmark.ridge_matrix(df, {k: sets[k] for k in wanted}, "ref", "fold"))
+    return benchmark.model_comparison(benchmark.ridge_matrix(df, all_sets(df, names), "ref", "fold"))
 
 
 @query()
 def regression_baselines(spark, sf_dir):
-    sets = {"raw_operating": OPS, "all_raw": M}
-    fits = {"boosted_trees": lambda d, x, y: models.gbt_reg(d, x, y, 5, 4, bins=64),
+    df, names = engineered(spark, sf_dir)
+    fits = {"boosted_trees": models.gbt_reg,
             "elastic_net": lambda d, x, y: models.elastic_net(d, x, y, 0.1, 0.5),
             "median": lambda d, x, y: models.dummy_reg(d, y)}
-    return benchmark.model_comparison(benchmark.model_matrix(folded_valid(spark, sf_dir, 2), sets, fits, "ref", "fold", range(2)))
+    return benchmark.model_comparison(benchmark.model_matrix(
+        features.valid_rows(df, ROLES), all_sets(df, names), fits, "ref", "fold", models.fold_values(df)))
 
 
 @query()
 def classification_baselines(spark, sf_dir):
-    df, _ = engineered(spark, sf_dir, 2)
-    consistency = [c for c in features.pairwise(SENSORS) if c.startswith("absdiff")] + [
-        "sensor_range", "max_dev_from_median", "n_sensors_missing", "is_exact_dup"]
-    sets = {"all_raw": M, "sensor_consistency": consistency}
-    fits = {"boosted_trees": lambda d, x, y: models.gbt_cls(d, x, y, 5, 4, bins=32),
-            "logistic": lambda d, x, y: models.logistic(d, x, y, max_iter=25),
+    df, names = engineered(spark, sf_dir)
+    fits = {"boosted_trees": models.gbt_cls,
+            "logistic": models.logistic,
             "most_frequent": lambda d, x, y: models.dummy_cls(d, y)}
-    return benchmark.model_comparison(benchmark.model_matrix(df, sets, fits, "invalid", "fold", range(2), classify=True))
+    return benchmark.model_comparison(benchmark.model_matrix(
+        df, all_sets(df, names), fits, "invalid", "fold", models.fold_values(df), classify=True))
 
 
 @query()
 def formula_comparison(spark, sf_dir):
-    df = folded_train(spark, sf_dir, 2)
-    return benchmark.compare_formulas(df, M, "ref", "fold", boosts=5, depth=4)
+    return benchmark.compare_formulas(folded_train(spark, sf_dir), M, "ref", "fold")
 
 
 @query()
@@ -81,24 +90,18 @@ def ablations(spark, sf_dir):
 
 @query()
 def regression_feature_ranking(spark, sf_dir):
-    df, names = engineered(spark, sf_dir)
-    cols = [*M, *features.electrical_names(ROLES), *features.summary_names(SENSORS), "is_exact_dup", "dup_group_size"]
-    return ranking.rank_features(df, cols, "ref", "test_id", trees=5, depth=5, boosts=3, boost_depth=4, repeats=1)
+    return ranked(*engineered(spark, sf_dir), "ref")
 
 
 @query()
 def classification_feature_ranking(spark, sf_dir):
-    df, names = engineered(spark, sf_dir)
-    cols = [*M, "sensor_range", "sensor_mad", "max_dev_from_median", "n_sensors_missing", "is_exact_dup",
-            "n_sensors_outside_consensus"]
-    return ranking.rank_features(df, cols, "invalid", "test_id", True, trees=5, depth=5, boosts=3, boost_depth=4, repeats=1)
+    return ranked(*engineered(spark, sf_dir), "invalid", True)
 
 
 @query()
 def permutation_importance(spark, sf_dir):
     rows = folded_valid(spark, sf_dir).dropna(subset=M)
-    model = models.forest_reg(rows, OPS, "ref", 20, 8)
-    return ranking.permutation_importance(rows, model, OPS, "ref", "test_id")
+    return ranking.permutation_importance(rows, models.forest_reg(rows, OPS, "ref"), OPS, "ref", "test_id")
 
 
 # a fixed line stands in for a fitted model, so that SQL can repeat the shuffle
@@ -139,8 +142,7 @@ def huber_coefficients(spark, sf_dir):
 @query()
 def target_model(spark, sf_dir):
     """Blend of polynomial and boosted trees on held-out rows: scores, weight, worst fold."""
-    rows = folded_valid(spark, sf_dir, 3)
-    oof, _ = reference.oof_candidates(rows, "fold", ROLES, boosts=5, depth=4)
+    oof, _ = reference.oof_candidates(folded_valid(spark, sf_dir), "fold", ROLES)
     oof = oof.select("fold", "ref", "p_poly", "p_trees")
     best = metrics.best_weight(metrics.blend_sweep(oof, "ref", "p_poly", "p_trees")).first()
     blend = F.lit(best["weight"]) * F.col("p_poly") + F.lit(1 - best["weight"]) * F.col("p_trees")
@@ -150,7 +152,7 @@ def target_model(spark, sf_dir):
 
 
 def fitted_reference(spark, sf_dir):
-    return reference.fit_reference(folded_valid(spark, sf_dir, 2), "fold", ROLES, boosts=5, depth=4)
+    return reference.fit_reference(folded_valid(spark, sf_dir), "fold", ROLES)
 
 
 @query()
@@ -175,7 +177,8 @@ def cross_fitted_residuals(spark, sf_dir):
     """Residual of each sensor from the settings and the other sensors, by label."""
     from plumbline.operators import crossfit
 
-    out = crossfit.cross_residuals(folded_train(spark, sf_dir, 2), SENSORS, OPS, "fold", range(2), trees=5, depth=6)
+    df = folded_train(spark, sf_dir)
+    out = crossfit.cross_residuals(df, SENSORS, OPS, "fold", models.fold_values(df))
     cells = F.array(*[F.struct(F.lit(s).alias("sensor"), F.col(f"residual_{s}").alias("r")) for s in SENSORS])
     return out.select("label", F.inline(cells)).groupBy("sensor", "label").agg(
         F.count("r").alias("n"), F.avg(F.abs("r")).alias("mean_abs"), F.stddev_samp("r").alias("sigma"))
