@@ -121,3 +121,33 @@ def test_toxicity_of_odd_tables(spark, toxic):
     nulls = spark.createDataFrame([(None, 1), (900, None), (901, 1), (901, 0)], "doc_id bigint, toxic int")
     assert score_documents(clashing(spark, ODD), nulls).count() == len(ODD)
     assert without_toxic(clashing(spark, ODD), nulls).columns == clashing(spark, ODD).columns
+
+
+def test_every_toxic_word_votes_however_many_there_are(spark):
+    rng = random.Random(12)
+    # ends in a letter that prose lacks, so that no stem of it is shared
+    bad = ["x" + "".join(rng.choice("qrstuvw") for _ in range(4)) + "z" for _ in range(150)]
+    rows = [(i, prose(rng, 15)) for i in range(3000)]
+    rows += [(3000 + i, f"{prose(rng, 7)} {bad[i % 150]} {prose(rng, 7)}") for i in range(150 * 14)]
+    labels = spark.createDataFrame([(i, int(i >= 3000)) for i, _ in rows], "doc_id bigint, toxic int")
+    got = score_documents(documents(spark, rows), labels).filter("held_out").collect()
+    assert sum(r.predicted == (r.doc_id >= 3000) for r in got) >= 0.98 * len(got)
+
+
+def test_a_whole_word_leaves_out_only_itself():
+    from plumbline.llm.toxicity import chosen_terms
+
+    found = [("zorg", 40, 90.0), ("zorgs", 30, 70.0), ("quib*", 30, 60.0), ("quibs", 20, 50.0), ("vrak", 20, 41.0), ("vrak*", 20, 41.0)]
+    assert chosen_terms(found, 1000) == ["zorg", "zorgs", "quib*", "vrak*"]
+    assert chosen_terms([("zorg", 5, 4.0)], 1000) == []
+
+
+def test_every_voter_has_training_rows(spark, monkeypatch):
+    from plumbline.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "TRAINING_ROWS", 10)
+    rows = [(i, 5, [0] if i % 500 else [1 + i // 500], [1]) for i in range(20_000)]
+    voted = spark.createDataFrame(rows, "doc_id bigint, n_words bigint, voters array<int>, hits array<int>")
+    drawn = toxicity.training_rows(voted, 41).filter(~held_out(F.col("doc_id"))).collect()
+    here = {v for r in rows for v in r[2]} - {v for r in voted.filter(held_out(F.col("doc_id"))).collect() for v in r.voters if v}
+    assert {v for r in drawn for v in r.voters} == here and len(drawn) < 100
