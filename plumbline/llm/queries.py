@@ -146,3 +146,74 @@ def op9_remove_repeats(spark, sf_dir):
     from plumbline.llm.repeats import remove_repeats
 
     return remove_repeats(documents(spark, sf_dir)).drop("removed")
+
+
+def centroids_sql(k: int = 40, components: int = 64, rounds: int = 5) -> str:
+    """Distances to every centroid, round after round, in double arithmetic that is exact for these sizes."""
+    nearest = """SELECT vec_id, row, x, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+        SELECT vec_id, row, x, c, list_inner_product(x, x) - 2 * list_inner_product(x, m) + list_inner_product(m, m) AS d
+        FROM whole, {centroids}) GROUP BY vec_id, row, x"""
+    steps = []
+    for r in range(rounds):
+        steps.append(f"a{r} AS ({nearest.format(centroids=f'm{r}')})")
+        steps.append(f"""m{r + 1} AS (SELECT c, coalesce(moved.m, old.m) AS m FROM m{r} AS old LEFT JOIN (
+            SELECT c, list(floor(s / n) ORDER BY i) AS m FROM (
+                SELECT c, i, sum(x[i]) AS s, count(*) AS n FROM a{r}, range(1, {components + 1}) AS t(i) GROUP BY c, i) GROUP BY c
+            ) AS moved USING (c))""")
+    return f"""WITH whole AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row,
+        list_transform(embedding, lambda v: floor(256 * CAST(v AS DOUBLE))) AS x FROM embeddings
+        WHERE len(embedding) = {components} AND len(list_filter(embedding, lambda v: isfinite(v))) = {components}),
+    m0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x AS m FROM (
+        SELECT sha256('2:' || vec_id) AS h, x FROM whole ORDER BY h, x LIMIT {k})),
+    {', '.join(steps)},
+    last AS ({nearest.format(centroids=f'm{rounds}')})
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+           CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(list_transform(m, lambda v: CAST(v AS BIGINT)), ',')) AS centroid_sha256
+    FROM last JOIN m{rounds} USING (c)"""
+
+
+@query(centroids_sql())
+def op11_cluster_centroids(spark, sf_dir):
+    from plumbline.llm.clustering import cluster
+
+    return cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query()
+def op12_byte_pair_ids(spark, sf_dir):
+    import public_tokenizers
+
+    from plumbline.llm.bytepairs import decode, encode
+
+    how = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = decode(encode(documents(spark, sf_dir).select("doc_id", "text"), *how), *how)
+    return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def infilling_sql() -> str:
+    h = [f"CAST('0x' || substr(digest, {1 + 8 * i}, 8) AS BIGINT)" for i in range(4)]
+    return f"""WITH units AS (SELECT doc_id, coalesce(text, '') AS body,
+        regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+        FROM documents),
+    cut AS (SELECT doc_id, body, u, len(u) AS n, least({h[0]} % (len(u) + 1), {h[1]} % (len(u) + 1)) AS a,
+        greatest({h[0]} % (len(u) + 1), {h[1]} % (len(u) + 1)) AS b, CASE WHEN body = '' OR contains(body, '<P>')
+        OR contains(body, '<S>') OR contains(body, '<M>') OR {h[2]} % 100 >= 100 THEN 'plain' WHEN {h[3]} % 100 < 50
+        THEN 'spm' ELSE 'psm' END AS form FROM units),
+    parts AS (SELECT doc_id, body, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+        array_to_string(u[b + 1:], '') AS s FROM cut)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(CASE form WHEN 'plain' THEN body
+        WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(body) AS restored_sha256 FROM parts"""
+
+
+@query(infilling_sql())
+def op13_fill_in_middle(spark, sf_dir):
+    from plumbline.llm.infilling import fill_in_middle, restored
+
+    rows = fill_in_middle(documents(spark, sf_dir).select("doc_id", "text"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+                       F.sha2(F.encode(restored(), "UTF-8"), 256).alias("restored_sha256"))

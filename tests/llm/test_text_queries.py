@@ -12,10 +12,10 @@ def test_text_query_equals_sql(spark, small, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op1_mix_sources", "op2_judge_quality", "op5_score_toxicity", "op6_hilbert_shards"])
+@pytest.mark.parametrize("name", ["op1_mix_sources", "op2_judge_quality", "op5_score_toxicity", "op6_hilbert_shards", "op12_byte_pair_ids"])
 def test_query_returns_every_document(spark, small, name):
     ids = [r.doc_id for r in QUERIES[name](spark, small).select("doc_id").collect()]
     assert sorted(ids) == sorted(r.doc_id for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id").collect())
