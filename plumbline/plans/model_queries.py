@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.operators import benchmark, features, folds, metrics, models, ranking, reference, stats
 from plumbline.plans.registry import ROLES, bench, query, test, train
 from plumbline.sources import sinks
+from plumbline.sources.shared import settled
 
 OPS, SENSORS, M, NUM = list(ROLES.settings), ROLES.all_sensors, ROLES.measurements, ROLES.numeric
 # features of a ranking that make up its compact set
@@ -30,15 +31,22 @@ def engineered(spark, sf_dir, k=5):
     return df, features.engineered_names(base, df)
 
 
-def ranked(df, names, y, classify=False):
-    return ranking.rank_features(df, [*M, *names], y, "test_id", classify)
+_RANKED: dict[tuple[str, str], dict] = {}
 
 
-def all_sets(df, names):
+def rankings(spark, sf_dir):
+    """Both feature rankings, settled once per session and source folder: several queries read them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RANKED:
+        df, names = engineered(spark, sf_dir)
+        _RANKED[key] = ranking.rank_targets(df, [*M, *names], {"ref": False, "invalid": True}, "test_id")
+    return _RANKED[key]
+
+
+def all_sets(spark, sf_dir, names):
     """All feature sets; the compact ones are the best of the rankings for either target."""
-    best = [[r["feature"] for r in ranked(df, names, y, classify).limit(COMPACT).collect()]
-            for y, classify in (("ref", False), ("invalid", True))]
-    return features.feature_sets(names, ROLES, *best)
+    tables = rankings(spark, sf_dir)
+    return features.feature_sets(names, ROLES, *[[r["feature"] for r in tables[y].limit(COMPACT).collect()] for y in ("ref", "invalid")])
 
 
 @query()
@@ -49,32 +57,30 @@ def polynomial_grid(spark, sf_dir):
 @query()
 def ridge_feature_sets(spark, sf_dir):
     df, names = engineered(spark, sf_dir)
-    return benchmark.model_comparison(benchmark.ridge_matrix(df, all_sets(df, names), "ref", "fold"))
+    return benchmark.model_comparison(benchmark.ridge_matrix(df, all_sets(spark, sf_dir, names), "ref", "fold"))
 
 
 @query()
 def regression_baselines(spark, sf_dir):
     df, names = engineered(spark, sf_dir)
-    fits = {"boosted_trees": models.gbt_reg,
-            "elastic_net": lambda d, x, y: models.elastic_net(d, x, y, 0.1, 0.5),
-            "median": lambda d, x, y: models.dummy_reg(d, y)}
-    return benchmark.model_comparison(benchmark.model_matrix(
-        features.valid_rows(df, ROLES), all_sets(df, names), fits, "ref", "fold", models.fold_values(df)))
+    sets, rows = all_sets(spark, sf_dir, names), settled(features.valid_rows(df, ROLES), "valid")
+    return benchmark.model_comparison(benchmark.tree_matrix(rows, sets, "ref", "test_id", "fold"),
+                                      benchmark.elastic_matrix(rows, sets, "ref", "fold", 0.1, 0.5),
+                                      benchmark.constant_matrix(rows, sets, "ref", "fold"))
 
 
 @query()
 def classification_baselines(spark, sf_dir):
     df, names = engineered(spark, sf_dir)
-    fits = {"boosted_trees": models.gbt_cls,
-            "logistic": models.logistic,
-            "most_frequent": lambda d, x, y: models.dummy_cls(d, y)}
-    return benchmark.model_comparison(benchmark.model_matrix(
-        df, all_sets(df, names), fits, "invalid", "fold", models.fold_values(df), classify=True))
+    sets, rows = all_sets(spark, sf_dir, names), settled(df, "engineered")
+    return benchmark.model_comparison(benchmark.tree_matrix(rows, sets, "invalid", "test_id", "fold", classify=True),
+                                      benchmark.logistic_matrix(rows, sets, "invalid", "fold"),
+                                      benchmark.constant_matrix(rows, sets, "invalid", "fold", classify=True))
 
 
 @query()
 def formula_comparison(spark, sf_dir):
-    return benchmark.compare_formulas(folded_train(spark, sf_dir), M, "ref", "fold")
+    return benchmark.compare_formulas(folded_train(spark, sf_dir), M, "ref", "test_id", "fold")
 
 
 @query()
@@ -90,12 +96,12 @@ def ablations(spark, sf_dir):
 
 @query()
 def regression_feature_ranking(spark, sf_dir):
-    return ranked(*engineered(spark, sf_dir), "ref")
+    return rankings(spark, sf_dir)["ref"]
 
 
 @query()
 def classification_feature_ranking(spark, sf_dir):
-    return ranked(*engineered(spark, sf_dir), "invalid", True)
+    return rankings(spark, sf_dir)["invalid"]
 
 
 @query()
