@@ -4,21 +4,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.rowwise import clip_range
-from plumbline.operators import metrics, models
+from plumbline.operators import metrics
 from plumbline.operators.features import assert_no_sensor, assert_valid_only
+from plumbline.operators.trees import Job, TreeModel, bin_table, boost, held_out
 from plumbline.operators.twin import Twin, fold_twins, with_fold_expectations
 from plumbline.roles import Roles
+from plumbline.sources.shared import settled
 
 
 @dataclass(frozen=True)
 class ReferenceModel:
     poly: Twin
-    trees: PipelineModel
+    trees: TreeModel
     weight: float
     low: float
     high: float
@@ -29,18 +30,21 @@ class ReferenceModel:
 
 
 def oof_candidates(df_valid: DataFrame, fold: str, roles: Roles = Roles(), degree: int = 4, alpha: float = 1e-3,
-                   boosts: int = 100, depth: int = 5, step: float = 0.1) -> tuple[DataFrame, Twin]:
-    """Held-out predictions ``p_poly`` and ``p_trees`` of the target, and the full polynomial."""
+                   boosts: int = 100, depth: int = 5, step: float = 0.1) -> tuple[DataFrame, Twin, TreeModel]:
+    """Held-out predictions ``p_poly`` and ``p_trees`` of the target, and both models of all rows.
+
+    The trees of all folds and of the whole table grow in the same passes.
+    """
     twins = fold_twins(df_valid, fold, roles, degree, alpha, targets=[roles.target])
-    folds = sorted(g for g in twins if g is not None)
     with_poly = with_fold_expectations(df_valid, twins, fold).withColumnRenamed(f"expected_{roles.target}", "p_poly")
-    parts = []
-    for g in folds:
-        left, right = with_poly.filter(F.col(fold) != g), with_poly.filter(F.col(fold) == g)
-        parts.append(models.gbt_reg(left, roles.settings, roles.target, boosts, depth, step).transform(right))
-    from plumbline.sources.sinks import stack
-
-    return stack(*parts).withColumnRenamed("prediction", "p_trees").drop("_features"), twins[None]
+    data = bin_table(with_poly, roles.settings, [roles.target], roles.id, fold, keep=with_poly.columns)
+    try:
+        inputs = data.at(roles.settings)
+        grown = boost(data, [Job(inputs, 0, g) for g in (None, *data.folds())], boosts, depth, step)
+        oof = settled(held_out(data, {"p_trees": dict(zip(data.folds(), grown[1:]))}).select(*with_poly.columns, "p_trees"), "held-out")
+    finally:
+        data.unpersist()
+    return oof, twins[None], TreeModel(data.edges, {"_trees": grown[0]})
 
 
 def fit_reference(df_valid: DataFrame, fold: str, roles: Roles = Roles(), inputs: Sequence[str] | None = None,
@@ -50,9 +54,8 @@ def fit_reference(df_valid: DataFrame, fold: str, roles: Roles = Roles(), inputs
     assert_no_sensor(inputs or roles.settings, roles)
     rows = assert_valid_only(df_valid, roles).dropna(subset=[*roles.settings, roles.target]).persist()
     try:
-        oof, poly = oof_candidates(rows, fold, roles, degree, alpha, boosts, depth, step)
+        oof, poly, trees = oof_candidates(rows, fold, roles, degree, alpha, boosts, depth, step)
         best = metrics.best_weight(metrics.blend_sweep(oof, roles.target, "p_poly", "p_trees")).first()
-        trees = models.gbt_reg(rows, roles.settings, roles.target, boosts, depth, step)
         ends = rows.agg(F.min(roles.target).alias("lo"), F.max(roles.target).alias("hi")).first()
     finally:
         rows.unpersist()
@@ -62,11 +65,11 @@ def fit_reference(df_valid: DataFrame, fold: str, roles: Roles = Roles(), inputs
 def predict_reference(df: DataFrame, model: ReferenceModel, out: str = "predicted") -> DataFrame:
     """Blended prediction clipped to the training range widened by 20 %, and whether it was clipped."""
     done = model.poly.expect(model.trees.transform(df), "_poly_")
-    raw = model.blend(F.col(f"_poly_{model.target}"), F.col("prediction"))
+    raw = model.blend(F.col(f"_poly_{model.target}"), F.col("_trees"))
     return (done.withColumn("_raw", raw)
             .withColumn(out, clip_range(F.col("_raw"), F.lit(model.low), F.lit(model.high)))
             .withColumn("clipped", F.col(out) != F.col("_raw"))
-            .drop("_raw", "_features", "prediction", f"_poly_{model.target}"))
+            .drop("_raw", "_trees", f"_poly_{model.target}"))
 
 
 def extrapolation(df: DataFrame, predict, id: str, column: str, factors: Sequence[float] = (1.0, 1.2, 1.5),
