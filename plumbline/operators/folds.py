@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.dedup import rounded
-from plumbline.operators.ordered import n_partitions
+from plumbline.operators.ordered import class_rows, n_partitions
+from plumbline.operators.skew import attach_groups
+from plumbline.sources.shared import settled
 
 
 def kfold(df: DataFrame, id: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
@@ -54,6 +56,60 @@ def group_kfold(df: DataFrame, cols: Sequence[str], k: int = 5, seed: int = 42,
     return df.withColumn(out, F.pmod(group, F.lit(k)).cast("int"))
 
 
+# distinct class-count vectors of groups that are dealt out on the driver
+MAX_VECTORS = 200_000
+
+
+def deal_vectors(vectors: Sequence[tuple[tuple[int, ...], int]], k: int) -> dict[tuple[int, ...], tuple[int, list[int]]]:
+    """Folds for groups of equal class counts: ``(counts, number of groups)`` to ``(dealt in turn, folds of the others)``.
+
+    As many groups of a kind as fill whole turns go round all folds. The rest, largest kinds first, go
+    one by one to the fold where the classes' shares stay most even; the smaller fold wins a tie.
+    """
+    total = [max(1, sum(v[c] * m for v, m in vectors)) for c in range(len(vectors[0][0]))] if vectors else []
+    loads = [[0] * len(total) for _ in range(k)]
+    out = {}
+    for v, m in sorted(vectors, key=lambda e: (-sum(e[0]), e[0])):
+        for load in loads:
+            for c, n in enumerate(v):
+                load[c] += n * (m // k)
+        rest = []
+        for _ in range(m % k):
+            f = min(range(k), key=lambda f: (sum(loads[f][c] * n / total[c] ** 2 for c, n in enumerate(v)), f))
+            rest.append(f)
+            loads[f] = [a + n for a, n in zip(loads[f], v)]
+        out[v] = m - m % k, rest
+    return out
+
+
+def stratified_group_kfold(df: DataFrame, cols: Sequence[str], by: str, k: int = 5, seed: int = 42, decimals: int | None = 4,
+                           out: str = "fold") -> DataFrame:
+    """Rows with the same measurement vector share a fold, and every class is spread evenly over the folds.
+
+    Groups are told apart only by how many rows of each class they hold. Groups of equal counts are
+    numbered in a hashed order and dealt by number, so the folds do not depend on partitions; only the
+    table of distinct counts, of which there may be ``MAX_VECTORS``, reaches the driver. Rows without
+    a class are one more class.
+    """
+    keys = [f"_r_{c}" for c in cols]
+    keyed = df.withColumns(dict(zip(keys, rounded(cols, decimals))))
+    classes = sorted((r[0] for r in class_rows(df.select(by).distinct())), key=lambda c: (c is None, c))
+    marks = [F.count_if(F.col(by).eqNullSafe(F.lit(c))).alias(f"_n{i}") for i, c in enumerate(classes)]
+    counts = [f"_n{i}" for i in range(len(classes))]
+    groups = settled(keyed.groupBy(*keys).agg(*marks, F.count("*").alias("_n")), "groups")
+    found = groups.groupBy(*counts).agg(F.count("*").alias("_m")).limit(MAX_VECTORS + 1).collect()
+    if len(found) > MAX_VECTORS:
+        raise ValueError(f"more than {MAX_VECTORS} different class counts of groups")
+    dealt = deal_vectors([(tuple(r[c] for c in counts), r["_m"]) for r in found], k)
+    table = df.sparkSession.createDataFrame([(*v, turns, rest) for v, (turns, rest) in dealt.items()],
+                                            ", ".join(f"_v{i} long" for i in range(len(classes))) + ", _turns long, _rest array<int>")
+    placed = numbered(groups, [F.xxhash64(*keys, F.lit(seed)), *[F.col(c) for c in keys]], counts)
+    same = [F.col(c) == F.col(f"_v{i}") for i, c in enumerate(counts)]
+    fold = F.when(F.col("_i") < F.col("_turns"), F.pmod("_i", F.lit(k))).otherwise(F.get("_rest", (F.col("_i") - F.col("_turns")).cast("int")))
+    of_group = placed.join(F.broadcast(table), same).select(*keys, fold.cast("int").alias("_fold"), "_n")
+    return attach_groups(keyed, of_group, keys, "_n").withColumn(out, F.col("_fold")).drop(*keys, "_fold", "_n")
+
+
 def with_fold(df: DataFrame, folds: DataFrame, id: str) -> DataFrame:
     """Rows with the fold of a fold table, NULL where the table has none."""
     return df.join(folds, id, "left")

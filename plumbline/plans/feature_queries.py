@@ -9,7 +9,7 @@ from plumbline.operators import audit, features, folds, gram, metrics, models, s
 from plumbline.plans.registry import ROLES, bench, query, table, test, train, union_all
 from plumbline.plans.sql_matrix import entry, moment_cte, sweep_ctes
 from plumbline.sources import sinks, tables
-from plumbline.sources.shared import shared_folder
+from plumbline.sources.shared import settled, shared_folder
 
 OPS, SENSORS, M, NUM = list(ROLES.settings), ROLES.all_sensors, ROLES.measurements, ROLES.numeric
 PAIRS = list(combinations(SENSORS, 2))
@@ -180,6 +180,21 @@ def hashed_group_folds(spark, sf_dir):
     return folds.fold_sizes(df).withColumn("straddling_groups", leaks)
 
 
+@query("SELECT label, count(*) AS n, 5::BIGINT AS folds, 0::BIGINT AS straddling_groups, true AS within_one_group FROM bench GROUP BY label")
+def stratified_group_folds(spark, sf_dir):
+    """Every class is spread over the folds to within one group, and no group is split."""
+    from plumbline.operators.dedup import split_groups
+
+    df = settled(folds.stratified_group_kfold(bench(spark, sf_dir), M, "label", 5), "folds")
+    largest = df.groupBy(*[F.round(c, 4) for c in M]).agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
+    per = df.groupBy("label", "fold").agg(F.count("*").alias("n"))
+    leaks = split_groups(df, M, "fold", 4).agg(F.count("*")).scalar()
+    return per.groupBy("label").agg(F.sum("n").alias("n"), F.count("*").alias("folds"), leaks.alias("straddling_groups"),
+                                    (F.max("n") - F.sum("n") / 5 <= largest).alias("_high"),
+                                    (F.sum("n") / 5 - F.min("n") <= largest).alias("_low")).select(
+        "label", "n", "folds", "straddling_groups", (F.col("_high") & F.col("_low")).alias("within_one_group"))
+
+
 @query("""SELECT CAST(fold AS INTEGER) AS fold, label, n // 5 + CAST(fold < n % 5 AS INTEGER) AS n
        FROM (SELECT label, count(*) AS n FROM bench GROUP BY label), (SELECT unnest(range(5)) AS fold)""")
 def stratified_fold_counts(spark, sf_dir):

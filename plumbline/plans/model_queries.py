@@ -418,3 +418,12 @@ def robust_covariance(spark, sf_dir):
     ellipse = anomaly.fit_robust_cov(features.valid_rows(train(spark, sf_dir), ROLES), M)
     return train(spark, sf_dir).groupBy("planted").agg(
         F.count(ellipse.distance()).alias("n"), F.count_if(ellipse.outlier()).alias("n_flagged"))
+
+
+@query()
+def local_outliers(spark, sf_dir):
+    from plumbline.operators import neighbours
+
+    rows = features.valid_rows(train(spark, sf_dir), ROLES)
+    return neighbours.local_outlier_factor(rows, M).groupBy("planted").agg(
+        F.count("lof").alias("n"), F.avg("lof").alias("mean_lof"), F.max("lof").alias("max_lof"), F.count_if("outlier").alias("n_flagged"))
