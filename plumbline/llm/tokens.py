@@ -157,7 +157,7 @@ class ChunkIds:
         if ids is None:
             if len(self.words) > REMEMBERED:
                 self.words.clear()
-            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+            shown = word if word.isascii() and "\x7f" not in word else word.encode().decode("latin-1").translate(self.shown)
             ids = self.words[word] = [t.id for t in self.tk.model.tokenize(shown)]
         return ids
 

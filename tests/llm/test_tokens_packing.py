@@ -2,11 +2,12 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm.packing import pack, pack_block, place
-from plumbline.llm.tokens import count_tokens
+from plumbline.llm.tokens import ChunkIds, count_tokens
 from samples import DOCUMENT, ODD, clashing, documents, prose
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -84,3 +85,14 @@ def test_examples_over_a_limit_get_their_own_bin(spark):
     by = placed.join(examples, "row_id").groupBy("sequence").agg(F.sum("length").alias("t"), F.count(F.lit(1)).alias("n"), F.sum("loss").alias("l"))
     top = by.agg(F.max("t"), F.max("n"), F.max("l")).first()
     assert top[0] <= 512 and top[1] <= 4 and top[2] <= 300 and placed.count() == 3000
+
+
+def test_chunk_ids_equal_the_library_for_every_low_character():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tk, chunker = tokenizers.Tokenizer.from_file(path), ChunkIds(path)
+    rng = random.Random(11)
+    signs = [chr(c) for c in range(1, 0x250)]
+    texts = [*signs, *[f"a{c}b" for c in signs], *["".join(rng.choice(signs) for _ in range(rng.randint(0, 50))) for _ in range(3000)]]
+    ids, ends = chunker.encode(pa.array(texts), 1)
+    for i, t in enumerate(texts):
+        assert ids[ends[i]:ends[i + 1]].tolist() == tk.encode(t, add_special_tokens=False).ids + [1], repr(t)
