@@ -151,8 +151,9 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
     kept = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(lower, 256) == F.col("_sha"))
+    # a row travels as one struct, so that no column of its own can clash
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.sha2(lower, 256).alias("_text"), F.struct(*docs.columns).alias("_row"))
+    match = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_sha"))
     # rows repeated with their doc_id meet again here; one of them goes on
     again = Window.partitionBy("_id", "_sha").orderBy("_sha")
-    return (docs.join(kept, match).withColumn("_again", F.row_number().over(again)).filter("_again = 1")
-            .select(*docs.columns))
+    return rows.join(kept, match).withColumn("_again", F.row_number().over(again)).filter("_again = 1").select("_row.*")

@@ -10,6 +10,10 @@ from plumbline.llm.common import bucket_count, hash62, hash_bucket, running_tota
 from plumbline.sources.shared import settled
 
 
+# parts of the copy that a source is being served at time 1
+PACKETS = 4096
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max_repeats: int) -> DataFrame:
     """``_source``, ``source_size``, ``target`` from one row (``_source``, ``source_size``) a source.
 
@@ -42,17 +46,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
 
     ``docs`` needs ``doc_id``, ``source`` and, unless ``size`` is given, ``text``. Every source is a
     queue of its documents in hashed order, repeated ``max_repeats`` times. A copy's virtual finish
-    time is its queue's running words divided by the source's target, so at time 1 every source has
-    been served its target. Copies are range-sorted by finish time over all sources, and the mix ends
-    where its running words reach the budget.
-
-    Returns a row for each copy of each row: the columns ``keep``, ``row_id`` (one a row of
-    ``docs``), ``copy`` from 0, ``size``, ``source_size``, ``target``, ``words`` (0: not taken),
-    ``finish`` and ``position`` (words of the mix before it). With ``cut`` the copy that is being
-    served at time 1 is taken in part, to its first ``words`` words, so a source's words equal its
-    rounded target; without, copies are taken whole and the last one only if at least half of it
-    fits. Null or empty texts have size 0 and are never taken; a null source is the last source; a
-    source without words has target 0; repeated rows are documents of their own.
+    time is its queue's running words divided by the source's target in whole words, so at time 1 every source has
+    been served its target. Copies are range-sorted by finish time over all sources and taken in that
+    order until the running words reach the budget, the sum of those targets.
+
+    The one copy of a source that is being served at time 1 goes in up to ``PACKETS`` packets of
+    words, each with a finish time of its own, so that the budget can end inside it. Returns a row for
+    each copy of each row: the columns ``keep``, ``row_id`` (one a row of ``docs``), ``copy`` from 0,
+    ``size``, ``source_size``, ``target``, ``words`` (0: not taken), ``finish`` and ``position`` (words
+    taken before it, in order of finish). Without ``cut`` copies are taken whole: one
+    in packets is taken if the word in its middle is.
+
+    Null or empty texts have size 0 and are never taken; a null source is the last source; a source
+    without words has target 0; very long texts count whole; repeated rows are documents of their
+    own, and documents of equal hash or doc_id are told apart by ``row_id``. An empty table gives no
+    rows. Columns of ``docs`` that are not named here are not read, so their names cannot clash.
     """
     named = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     sized = settled(docs.select(
@@ -60,31 +68,46 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
         named.alias("_source"), (word_count(F.col("text")) if size is None else size.cast("long")).alias("size"),
         F.monotonically_increasing_id().alias("row_id")), "mix-sizes")
     buckets = bucket_count(sized.count())
-    sized = sized.withColumns({"_bucket": hash_bucket(buckets, F.lit(seed), "_doc"), "_order": hash62(F.lit(seed), "_doc")})
+    # rows of one doc_id, or without one, spread over the buckets by their row_id
+    shuffled = (F.lit(seed), "_doc", "row_id")
+    sized = sized.withColumns({"_bucket": hash_bucket(buckets, *shuffled), "_order": hash62(*shuffled)})
     targets = settled(source_targets(sized.groupBy("_source").agg(F.sum("size").alias("source_size")),
                                      weights, share, max_repeats), "mix-targets")
-    queued = running_total(sized, "_bucket", ["_order", "_doc", "size", "row_id"], "size", "_before", by=["_source"])
+    queued = running_total(sized, "_bucket", ["_order", "row_id"], "size", "_before", by=["_source"])
     # facts of a source go by (source, bucket), so that a hot source is not one key of the join
     facts = sized.select("_source", "_bucket").distinct().join(targets, "_source")
     start = F.col("_before") + F.col("copy") * F.col("source_size")
-    end = F.round("target").cast("long")
-    words = (F.least(F.col("size"), end - start) if cut
-             else F.when(2 * start + F.col("size") <= 2 * end, F.col("size")).otherwise(0))
     copies = (queued.join(facts, ["_source", "_bucket"])
-              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
-              .withColumn("words", F.greatest(words, F.lit(0)).cast("long"))
-              .withColumn("finish", F.coalesce(F.least(F.lit(1.0), (start + F.col("size")) / F.nullif(F.col("target"), F.lit(0.0))), F.lit(1.0)))
-              .withColumn("_range", F.floor(F.col("finish") * buckets).cast("long"))
-              .drop("_bucket", "_before"))
-    # what no one takes ends at time 1 as well: spread it over ranges of its own
-    copies = settled(copies.withColumn("_range", F.when(F.col("words") > 0, F.col("_range")).otherwise(
-        buckets + 1 + F.pmod("_order", F.lit(buckets)))), "mix-copies")
-    placed = running_total(copies, "_range", ["finish", "_order", "_doc", "copy", "row_id"], "words", "position")
-    budget = targets.agg(F.round(F.sum("target")).cast("long").alias("b")).first()["b"] or 0
-    if cut:
-        placed = placed.withColumn("words", F.greatest(F.least(F.col("words"), F.lit(budget) - F.col("position")), F.lit(0)))
-    return placed.select(*[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)], "row_id", "copy", "size",
-                         "source_size", "target", "words", "finish", "position")
+              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))).withColumn("_start", start))
+    due = F.round("target")
+    served = (F.col("_start") < due) & (F.col("_start") + F.col("size") > due)
+    copies = copies.withColumn("_served", F.coalesce(served, F.lit(False)))
+    packet = F.when(F.col("_served"), F.greatest(F.lit(1), F.ceil(F.col("size") / PACKETS))).otherwise(F.greatest(F.lit(1), F.col("size"))).cast("long")
+    copies = copies.withColumn("_packet", packet).withColumn("_p", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / F.col("_packet"))))))
+    upto = F.least(F.col("size"), (F.col("_p") + 1) * F.col("_packet"))
+    finish = (F.col("_start") + upto) / F.nullif(due, F.lit(0.0))
+    copies = copies.withColumns({"_words": upto - F.col("_p") * F.col("_packet"), "_middle": F.floor((F.col("size") - 1) / 2 / F.col("_packet")) == F.col("_p"),
+                                 "finish": F.coalesce(finish, F.lit(float("inf")))})
+    # what ends long after the budget only has to come last: it is spread over ranges of its own
+    ranges = F.when(F.col("finish") <= 2, F.floor(F.col("finish") * buckets).cast("long")).otherwise(
+        2 * buckets + 1 + F.pmod("_order", F.lit(buckets)))
+    copies = settled(copies.withColumn("_range", ranges).drop("_bucket", "_before", "_packet"), "mix-copies")
+    placed = running_total(copies, "_range", ["finish", "_order", "copy", "row_id", "_p"], "_words", "_place")
+    budget = targets.agg(F.sum(due.cast("long"))).first()[0] or 0
+    taken = F.greatest(F.least(F.col("_words"), F.lit(budget) - F.col("_place")), F.lit(0))
+    if not cut:
+        taken = F.when(F.col("_middle") & (F.col("size") > 0) & (2 * taken >= F.col("_words")), F.col("size")).otherwise(0)
+    kept = [f"_keep{i}" for i in range(len(keep))]
+    facts = [*kept, "row_id", "copy", "size", "source_size", "target", "_order"]
+    parts = settled(placed.select(*facts, taken.cast("long").alias("words"), "finish", "_served"), "mix-parts")
+    # packets of a copy add up again: a copy or two a source
+    whole = parts.filter("_served").groupBy("row_id", "copy").agg(
+        *[F.first(c).alias(c) for c in facts if c not in ("row_id", "copy")], F.sum("words").alias("words"), F.max("finish").alias("finish"))
+    joined = settled(parts.filter("not _served").drop("_served").unionByName(whole).withColumn("_range", ranges), "mix-taken")
+    return (running_total(joined, "_range", ["finish", "_order", "copy", "row_id"], "words", "position").drop("_range", "_order")
+            .select(*kept, "row_id", "copy", "size", "source_size", "target", "words", "finish", "position")
+            .withColumnsRenamed(dict(zip(kept, keep))))
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
@@ -94,5 +117,7 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     """
     copies = (mix(docs, cut=False, **how).filter("words > 0").groupBy("doc_id", "row_id").agg(F.count(F.lit(1)).alias("_n"))
               .groupBy(F.col("doc_id").alias("_id")).agg(F.max("_n").cast("int").alias("_copies")))
-    return (docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns))
+    # a row travels as one struct, so that no column of its own can clash
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.struct(*docs.columns).alias("_row"))
+    return (rows.join(copies, F.col("_doc").eqNullSafe(F.col("_id")))
+            .select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*"))

@@ -286,4 +286,6 @@ def full_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with the smallest doc_id of each component, all columns as they were; rows of one doc_id stay or go together."""
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # a row travels as one struct, so that no column of its own can clash
+    rows = docs.select(F.col("doc_id").alias("_doc"), F.struct(*docs.columns).alias("_row"))
+    return rows.join(kept, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi").select("_row.*")

@@ -52,6 +52,31 @@ def test_sources_get_their_targets(corpus):
     assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
 
 
+def test_finish_order_alone_decides_what_is_taken(corpus):
+    """A fair queue over all sources served word by word, copy for copy."""
+    rows, docs = corpus
+    items = mix(docs).collect()
+    queues: dict = {}
+    for r in items:
+        assert (r["copy"], r.row_id) not in queues.setdefault(r.source_size, {})
+        queues[r.source_size][r["copy"], r.row_id] = r
+    served, got = [], {}
+    for size, copies in queues.items():
+        order = sorted(copies, key=lambda k: (k[0], copies[k].finish))
+        before = 0
+        for k in order:
+            n = copies[k]["size"]
+            served += [((before + w + 1) / int(copies[k].target + 0.5), size, k) for w in range(n) if copies[k].target]
+            before += n
+            got[size, k] = copies[k].words
+    budget = sum(int(t + 0.5) for t in {r.source_size: r.target for r in items}.values())
+    want: dict = {}
+    for _, size, k in sorted(served)[:budget]:
+        want[size, k] = want.get((size, k), 0) + 1
+    assert {k: v for k, v in got.items() if v} == want
+    assert any(r.finish > 1 for r in items)
+
+
 def test_mix_is_in_order_and_runs_agree(corpus):
     _, docs = corpus
     first, second = (mix(docs).filter("words > 0").orderBy("position").collect() for _ in range(2))
@@ -108,3 +133,18 @@ def test_a_source_without_words_has_target_0(spark):
     nulls = documents(spark, [(1, None, "x"), (2, "", "y")])
     assert [(r.target, r.words) for r in mix(nulls).collect()] == [(0.0, 0)] * 4
     assert mixed(nulls).count() == 0
+
+
+NAMES = ["_id", "_sha", "_again", "_copy", "_copies", "_doc", "_row", "_text", "_n"]
+
+
+@pytest.mark.parametrize("stage", ["mixed", "exact", "near"])
+def test_stages_keep_columns_with_their_own_names(spark, stage):
+    from plumbline.llm.exactdup import without_duplicates
+    from plumbline.llm.neardup import without_near_duplicates
+
+    rows = [(i, t, "en", "s", len(t or ""), *[f"{n}{i}" for n in NAMES]) for i, t in ODD]
+    docs = spark.createDataFrame(rows, DOCUMENT + "".join(f", {n} string" for n in NAMES))
+    out = {"mixed": mixed, "exact": without_duplicates, "near": without_near_duplicates}[stage](docs)
+    assert out.columns == docs.columns and {tuple(r) for r in out.collect()} <= {tuple(r) for r in docs.collect()}
+    assert out.count() > 3
