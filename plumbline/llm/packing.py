@@ -27,34 +27,54 @@ def pack_block(tokens: np.ndarray, loss: np.ndarray, capacity: tuple[int, int, i
     fills up the bin and its rest stays in the pool. An example over a limit gets a bin of its own.
     """
     cap = np.array(capacity, float)
-    demand = np.stack([tokens, np.ones_like(tokens), loss], 1).astype(float) / cap
-    weight = demand.mean(0) if len(demand) else np.ones(3)
-    start, alive = np.zeros(len(tokens), np.int64), np.ones(len(tokens), bool)
-    left_tokens = tokens.astype(np.int64).copy()
+    weight = (np.array([tokens.mean(), 1.0, loss.mean()]) / cap) if len(tokens) else np.ones(3)
+    start, left_tokens = np.zeros(len(tokens), np.int64), tokens.astype(np.int64)
+    # examples of equal demand wait in one queue, so that only distinct demands are scored
+    kinds, kind_of = np.unique(np.stack([tokens, loss], 1), axis=0, return_inverse=True)
+    queues: list[list[int]] = [[] for _ in kinds]
+    for i in range(len(tokens) - 1, -1, -1):
+        queues[kind_of.ravel()[i]].append(i)
+    need, bear = kinds[:, 0] / cap[0], kinds[:, 1] / cap[2]  # an empty queue needs infinitely many tokens
     out, number = [], 0
     n_alive = len(tokens)
+
+    def take(kind: int) -> int:
+        example = queues[kind].pop()
+        if not queues[kind]:
+            need[kind] = np.inf
+        return example
+
     while n_alive:
         left, offset = np.ones(3), 0
         while n_alive:
-            fits = alive & (demand <= left + 1e-9).all(1)
-            score = np.where(fits, demand @ (weight * left), -1.0)
-            pick = int(score.argmax())
-            if not fits[pick]:
+            kind = -1
+            if left[1] * cap[1] > 0.5:
+                fits = np.flatnonzero((need <= left[0] + 1e-9) & (bear <= left[2] + 1e-9))
+                if len(fits):  # the share that one example takes of a bin's examples is the same for all
+                    kind = int(fits[(need[fits] * (weight[0] * left[0]) + bear[fits] * (weight[2] * left[2])).argmax()])
+            if kind < 0:
                 room = min(capacity[0] - offset, int(round(left[2] * cap[2])))
                 if cut and room >= 1 and left[1] * cap[1] > 0.5:
-                    pick = int(np.where(alive, left_tokens, -1).argmax())
+                    kind = int(np.where(np.isfinite(need), need, -1.0).argmax())
+                    pick = take(kind)
                     out.append((pick, int(start[pick]), room, number, offset))
                     start[pick] += room
                     left_tokens[pick] -= room
-                    demand[pick, 0], demand[pick, 2] = left_tokens[pick] / cap[0], left_tokens[pick] / cap[2]
+                    if queues[kind]:  # its queue goes on; the rest waits in a new one
+                        kind = len(queues)
+                        queues.append([])
+                        need, bear = np.append(need, 0.0), np.append(bear, 0.0)
+                    queues[kind].append(pick)
+                    need[kind], bear[kind] = left_tokens[pick] / cap[0], left_tokens[pick] / cap[2]
                     break
                 if offset:
                     break
-                pick = int(alive.argmax())  # over a limit by itself
+                kind = int(np.isfinite(need).argmax())  # over a limit by itself
+            share = np.array([need[kind], 1 / cap[1], bear[kind]])
+            pick = take(kind)
             out.append((pick, int(start[pick]), int(left_tokens[pick]), number, offset))
             offset += int(left_tokens[pick])
-            left = left - demand[pick]
-            alive[pick] = False
+            left = left - share
             n_alive -= 1
         number += 1
     return out

@@ -4,8 +4,8 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -133,15 +133,22 @@ def byte_characters() -> dict[int, int]:
     return {**{b: b for b in visible}, **{b: 256 + i for i, b in enumerate(hidden)}}
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class ChunkIds:
     """Token ids of white-space-separated chunks of a word-level BPE tokenizer that drops white space.
 
     Its normalizer and pattern never look across ASCII white space, so a text's ids are those of its
     chunks in a row. Chunks of Latin letters are normalised and cut here and only words not seen
-    before go to the model; any other chunk goes to the library whole.
+    before go to the model; any other chunk goes to the library whole. Ids are held as bytes,
+    unsigned 32-bit little-endian.
     """
 
     _latin = re.compile("[\x21-įĲ-ɏ]*")
+    # characters a word may end with that the tokenizer's pattern keeps together, without the apostrophe of contractions
+    _marks = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, path: str):
         import regex
@@ -149,40 +156,36 @@ class ChunkIds:
         self.tk = tokenizer(path)
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         self.shown = byte_characters()
-        self.chunks: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             if len(self.words) > REMEMBERED:
                 self.words.clear()
             shown = word if word.isascii() and "\x7f" not in word else word.encode().decode("latin-1").translate(self.shown)
-            ids = self.words[word] = [t.id for t in self.tk.model.tokenize(shown)]
+            ids = self.words[word] = packed_ids([t.id for t in self.tk.model.tokenize(shown)])
         return ids
 
-    def chunk(self, chunk: str) -> list[int]:
-        if chunk.isascii():
-            chunk = chunk if "<|" in chunk else chunk.lower()
-            if chunk.isalpha():
-                return self.word(chunk)
-            if chunk[-1:] in ".," and chunk[:-1].isalpha():
-                return self.word(chunk[:-1]) + self.word(chunk[-1])
-        if self._latin.fullmatch(chunk) is None or "<|" in chunk or not (
-                chunk.isascii() or unicodedata.is_normalized("NFC", chunk)):
-            return self.tk.encode(chunk, add_special_tokens=False).ids
-        return [i for w in self.pieces.findall(chunk.lower()) for i in self.word(w)]
-
-    def lookup(self, names: list[str]) -> list[list[int]]:
-        if len(self.chunks) + len(names) > REMEMBERED:
-            self.chunks.clear()
-        known, out = self.chunks, []
-        for name in names:
-            ids = known.get(name)
+    def chunk(self, chunk: str) -> bytes:
+        if "<|" in chunk or not (chunk.isascii() or (
+                self._latin.fullmatch(chunk) and unicodedata.is_normalized("NFC", chunk))):
+            return packed_ids(self.tk.encode(chunk, add_special_tokens=False).ids)
+        chunk = chunk.lower()
+        if chunk.isalpha():
+            return self.word(chunk)
+        letters = chunk.rstrip(self._marks)
+        if letters.isalpha():
+            return self.word(letters) + self.word(chunk[len(letters):])
+        return b"".join([self.word(w) for w in self.pieces.findall(chunk)])
+
+    def lookup(self, names: list[str]) -> list[bytes]:
+        """Ids of distinct chunks. A chunk that is a remembered word needs no more; of a special string's text no word is remembered."""
+        found = list(map(self.words.get, names))
+        for i, ids in enumerate(found):
             if ids is None:
-                ids = known[name] = self.chunk(name)
-            out.append(ids)
-        return out
+                found[i] = self.chunk(names[i])
+        return found
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text's followed by ``end_id``, and the offsets of texts."""
@@ -191,9 +194,9 @@ class ChunkIds:
         lowered = pc.if_else(plain, pc.ascii_lower(texts), texts)  # special strings are read before lower case
         chunks = pc.ascii_split_whitespace(lowered)
         coded = chunks.flatten().dictionary_encode()
-        ids = self.lookup(coded.dictionary.to_pylist())
-        width = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.fromiter(chain.from_iterable(ids), np.uint32, int(width.sum()))
+        ids = self.lookup(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        width = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), "<u4")
         place = np.cumsum(width) - width
         codes = coded.indices.to_numpy()
         each = width[codes]
