@@ -168,8 +168,8 @@ class ChunkIds:
         return ids
 
     def chunk(self, chunk: str) -> bytes:
-        if "<|" in chunk or not (chunk.isascii() or (
-                self._latin.fullmatch(chunk) and unicodedata.is_normalized("NFC", chunk))):
+        if "<|" in chunk or self._latin.fullmatch(chunk) is None or not (
+                chunk.isascii() or unicodedata.is_normalized("NFC", chunk)):
             return packed_ids(self.tk.encode(chunk, add_special_tokens=False).ids)
         chunk = chunk.lower()
         if chunk.isalpha():
