@@ -43,20 +43,43 @@ def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def as_number(col: Column, kind: str) -> Column:
-    """An order-preserving number; of strings, their first seven bytes."""
-    if kind == "string":
-        head = F.substring(F.rpad(F.hex(F.encode(F.coalesce(col, F.lit("")), "UTF-8")), 14, "0"), 1, 14)
-        return F.conv(head, 16, 10).cast("double")
-    return F.coalesce(col.cast("double"), F.lit(0.0))
+def string_cells(values: DataFrame, bits: int) -> list[str]:
+    """The least string of every cell but the first: the distinct strings of ``value``, in order, in 2^bits even runs.
+
+    Equal strings collapse first, so a string that very many rows hold is one row here; with at most
+    2^bits distinct strings each has a cell of its own. Fewer than 2^bits strings reach the driver.
+    """
+    distinct = settled(values.groupBy("value").agg(F.lit(1).cast("long").alias("_one")), "distinct-strings")
+    total = distinct.count()
+    ranged = distinct.repartitionByRange(bucket_count(total), "value").withColumn("_bucket", F.spark_partition_id())
+    ranked = running_total(settled(ranged, "string-order"), "_bucket", ["value"], "_one", "_rank")
+    cell = F.expr(f"_rank * {1 << bits} div {max(total, 1)}").alias("cell")
+    firsts = ranked.groupBy(cell).agg(F.min("value").alias("value")).orderBy("cell").collect()
+    return [r["value"] for r in firsts[1:]]
+
+
+def cuts_passed(value: Column, cuts: Sequence[str]) -> Column:
+    return F.size(F.filter(F.array(*[F.lit(v) for v in cuts]).cast("array<string>"), lambda cut: cut <= value))
+
+
+def number_cells(rows: DataFrame, names: Sequence[str], bits: int) -> dict[str, Column]:
+    """Cells of equal width between the least and greatest value of each column."""
+    if not names:
+        return {}
+    scale = rows.agg(*[f(c).alias(f"{k}{c}") for c in names for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    out = {}
+    for c in names:
+        low, high = scale[f"lo{c}"] or 0.0, scale[f"hi{c}"] or 0.0
+        out[c] = F.floor((F.col(c) - F.lit(low)) / F.lit((high - low) or 1.0) * ((1 << bits) - 1)).cast("int")
+    return out
 
 
 def hilbert_shards(docs: DataFrame, dims: Sequence[str], shards: int = 40, bits: int = 6,
                    ties: Sequence[str] = ()) -> DataFrame:
     """Add ``curve`` (Hilbert index), ``shard`` and ``slot`` to every row, shards equal to one row.
 
-    Each dimension is scaled between its least and greatest value to ``bits`` bits; strings by their
-    first bytes, null as empty or 0. Rows are sorted by curve index, ``ties``, then a hash of all
+    Each dimension becomes a cell of ``bits`` bits: numbers are scaled between their least and greatest
+    value, strings go by the place among their column's distinct strings; null is 0 or empty. Rows are sorted by curve index, ``ties``, then a hash of all
     columns, and the order is cut into runs, so that files hold narrow ranges of every dimension.
     Columns of ``docs`` with the names of the result give way to it; equal rows get neighbouring
     slots. An empty table gives no rows; fewer rows than shards leave shards empty.
@@ -66,14 +89,19 @@ def hilbert_shards(docs: DataFrame, dims: Sequence[str], shards: int = 40, bits:
     rows = settled(docs.select(
         F.struct(*kept).alias("_row"), F.xxhash64(*kept).alias("_mix"),
         *[F.col(c).alias(f"_t{i}") for i, c in enumerate(ties)],
-        *[as_number(F.col(c), kinds[c]).alias(f"_d{i}") for i, c in enumerate(dims)]), "shard-rows")
-    scale = rows.agg(F.count(F.lit(1)).alias("n"), *[f(f"_d{i}").alias(f"{k}{i}") for i in range(len(dims))
-                                                     for k, f in (("lo", F.min), ("hi", F.max))]).first()
-    total, top = scale["n"], (1 << bits) - 1
+        *[(F.coalesce(F.col(c), F.lit("")) if kinds[c] == "string" else F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(f"_d{i}")
+          for i, c in enumerate(dims)]), "shard-rows")
+    total = rows.count()
+    scaled = number_cells(rows, [f"_d{i}" for i, c in enumerate(dims) if kinds[c] != "string"], bits)
     cells = []
-    for i in range(len(dims)):
-        low, high = scale[f"lo{i}"] or 0.0, scale[f"hi{i}"] or 0.0
-        cells.append(F.floor((F.col(f"_d{i}") - F.lit(low)) / F.lit((high - low) or 1.0) * top).cast("int"))
+    for i, c in enumerate(dims):
+        if kinds[c] == "string":
+            cuts = string_cells(rows.select(F.col(f"_d{i}").alias("value")), bits)
+            passed = cuts_passed(F.col(f"_d{i}"), cuts)
+            # few strings lie as far apart as many
+            cells.append(F.floor(passed * (1 << bits) / (len(cuts) + 1)).cast("int").alias(f"_d{i}"))
+        else:
+            cells.append(scaled[f"_d{i}"].alias(f"_d{i}"))
 
     @F.pandas_udf("long")
     def curve(cells: pd.DataFrame) -> pd.Series:

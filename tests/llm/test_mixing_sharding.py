@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm.mixing import mix, mixed
-from plumbline.llm.sharding import hilbert_index, hilbert_shards
+from plumbline.llm.sharding import hilbert_index, hilbert_shards, string_cells
 from samples import DOCUMENT, ODD, clashing, documents, prose
 
 
@@ -124,6 +124,38 @@ def test_shards_differ_by_one_row_at_most(spark):
     assert hilbert_shards(spark.range(0), ["id"]).count() == 0
 
 
+def test_strings_that_start_alike_get_cells_of_their_own(spark):
+    rows = spark.range(2000).selectExpr("id", "concat('source-number-', id % 20) AS s")
+    rows = rows.withColumn("s", F.when(F.col("id") >= 700, F.lit("source-number-7")).otherwise(F.col("s")))  # one holds two thirds
+    cuts = string_cells(rows.select(F.col("s").alias("value")), 6)
+    assert cuts == sorted(f"source-number-{i}" for i in range(20))[1:]
+    many = spark.range(5000).selectExpr("lpad(CAST(id AS STRING), 9, '0') AS value")
+    cuts = string_cells(many, 4)
+    assert cuts == [f"{-(-5000 * c // 16):09d}" for c in range(1, 16)]
+    by: dict = {}
+    for r in hilbert_shards(rows, ["s"], shards=40, ties=["id"]).collect():
+        by.setdefault(r.shard, set()).add(r.s)
+    assert sum(map(len, by.values())) <= 40 + 19  # each string lies in one run
+
+
+def test_query_of_shards_against_brute_force(spark, tmp_path):
+    import zlib
+
+    from plumbline.llm import queries
+
+    rows = [(*r, f"src{i % 12}") for i, r in enumerate(ODD)] + [(i, f"Text ß {i % 50} " * (i % 9), f"src{i % 12}") for i in range(300)]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op6_hilbert_shards"](spark, str(tmp_path)).collect()
+    assert {(r.law, r.grown_shard) for r in got} == {("rows", None)}
+    utf8 = [(d, (t or "").encode()) for d, t, _ in rows]
+    assert sorted([(r.doc_id, r["size"], r.text_crc32) for r in got], key=str) == sorted([(d, len(b) + 16, zlib.crc32(b)) for d, b in utf8], key=str)
+    # read in order of shard and slot, rows follow the curve, then text and doc_id, and runs are even
+    got.sort(key=lambda r: (r.shard, r.slot))
+    order = [(r.curve, r.text_crc32, -1 if r.doc_id is None else r.doc_id) for r in got]
+    assert order == sorted(order)
+    assert [(r.shard, r.slot) for r in got] == [(s, i - -(-s * len(got) // 40)) for i, s in enumerate(i * 40 // len(got) for i in range(len(got)))]
+
+
 def test_a_source_without_words_has_target_0(spark):
     rows = [(1, "a b c", "x"), (2, None, "empty"), (3, " \n", "empty"), (4, "d e", "y")]
     got = mix(documents(spark, rows)).collect()
