@@ -68,21 +68,25 @@ def finish(x: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``row_id``, ``doc_id``, ``n_shingles``, ``digest`` of the set (null if empty) and its ``sketch``, the smallest hashes."""
-    names = ["row_id", "doc_id", "n_shingles", "digest", "sketch"]
+    """``row_id``, ``doc_id``, ``body`` (a hash of the text), ``n_shingles``, ``digest`` of the set (null if empty) and its ``sketch``, the smallest hashes."""
+    names = ["row_id", "doc_id", "body", "n_shingles", "digest", "sketch"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"))
             yield pa.RecordBatch.from_arrays([
-                pa.array(row + np.arange(len(sets))), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(row + np.arange(len(sets))), batch.column("doc_id"), batch.column("body"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([digest(s) for s in sets], pa.binary()),
                 pa.array([s[:KEPT] for s in sets], pa.list_(pa.int64()))], names)
             row += len(sets)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "row_id bigint, doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>")
+    return docs.select("doc_id", "text", body_hash()).mapInArrow(
+        run, "row_id bigint, doc_id bigint, body bigint, n_shingles bigint, digest binary, sketch array<bigint>")
+
+
+def body_hash() -> Column:
+    return F.xxhash64("text").alias("body")
 
 
 def digest(values: np.ndarray) -> bytes | None:
@@ -195,8 +199,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     rows = settled(sketches(docs), "sketches")
     groups = settled(rows.filter("digest is not null").groupBy("digest").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id")).alias("first"), F.count(F.lit(1)).alias("copies"))
-        .select("digest", "copies", F.col("first.row_id").alias("rep"), F.col("first.doc_id").alias("rep_doc")), "sets")
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id", "body")).alias("first"), F.count(F.lit(1)).alias("copies"))
+        .select("digest", "copies", F.col("first.row_id").alias("rep"), F.col("first.doc_id").alias("rep_doc"), F.col("first.body").alias("rep_body")), "sets")
     reps = rows.join(groups.select("rep"), rows.row_id == F.col("rep")).select("rep", "n_shingles", "sketch")
     labels = components(links_between(docs, reps, groups))
     smallest = (groups.join(labels, groups.rep == labels.node, "left")
@@ -215,7 +219,7 @@ def links_between(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFr
     members = settled(lists.join(pivots.select("value", "pivot"), "value").filter("rep <> pivot")
                       .select("pivot", "rep").distinct(), "pivot-members")
     needed = (members.select("rep").union(members.select(F.col("pivot").alias("rep"))).distinct()
-              .join(groups.select("rep", "rep_doc", F.col("digest").alias("_digest")), "rep"))
+              .join(groups.select("rep", "rep_doc", "rep_body", F.col("digest").alias("_digest")), "rep"))
     sets = settled(full_sets(docs, needed), "shingle-sets")
     n = F.col("n_values")
     sized = members.join(sets.select("rep", n), "rep")
@@ -268,8 +272,11 @@ def links_between(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFr
 
 def full_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """``rep``, ``values`` (the whole set, 64-bit little-endian) and ``n_values`` of the documents in ``needed``."""
-    wanted = docs.select("doc_id", "text").join(needed, F.col("doc_id").eqNullSafe(F.col("rep_doc"))).select(
-        "rep", "_digest", "text")
+    # by doc_id and text, so that rows without a doc_id spread by their texts and meet their own set only
+    named = needed.select("rep", F.coalesce("rep_doc", F.lit(0)).alias("_doc"), F.col("rep_doc").isNull().alias("_unnamed"), "rep_body", "_digest")
+    rows = docs.select("text", body_hash(), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_null"))
+    wanted = rows.join(named, (F.col("body") == F.col("rep_body")) & (F.col("_id") == F.col("_doc")) & (
+        F.col("_null") == F.col("_unnamed"))).select("rep", "_digest", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

@@ -155,3 +155,20 @@ def test_repeats_of_empty_and_clashing_tables(spark):
     assert remove_repeats(spark.createDataFrame([], DOCUMENT)).count() == 0
     got = remove_repeats(clashing(spark, ODD)).collect()
     assert sorted([tuple(r)[:5] for r in got], key=str) == brute_repeats(ODD, 400)
+
+
+def test_rows_without_a_doc_id_meet_only_texts_like_their_own(spark):
+    rng = random.Random(5)
+    bodies = [prose(rng, 120) for _ in range(60)]
+    rows = [(None, b) for b in bodies] + [(None, b + " tail") for b in bodies[:20]] + [(i, b + " end") for i, b in enumerate(bodies[:10])]
+    got = near_duplicates(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    named = collections.Counter(r.component_id for r in got if r.component_id is not None)
+    assert named == {i: 3 for i in range(10)} and {r.doc_id for r in got if r.kept and r.doc_id is not None} == set(range(10))
+    assert sum(r.component_id is None for r in got) == len(rows) - 30
+    from plumbline.llm.neardup import full_sets, sketches
+
+    found = sketches(documents(spark, rows)).collect()
+    needed = spark.createDataFrame([(r.row_id, r.doc_id, r.body, bytes(r.digest)) for r in found],
+                                   "rep bigint, rep_doc bigint, rep_body bigint, _digest binary")
+    assert full_sets(documents(spark, rows), needed).count() == len(rows)
