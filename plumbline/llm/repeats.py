@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.operators.skew import attach_groups
 from plumbline.sources.shared import settled
 
 GRAM = 16
@@ -179,8 +180,8 @@ def repeat_starts(docs: DataFrame, length: int, window: int, group: int) -> Data
     # anchors whose whole hull repeats are done; of the others and what they may equal, one each goes on
     hulls = settled(repeated.groupBy("core", "hull").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("row_id", "at", "back", "fwd")).alias("one")), "hulls")
-    done = repeated.join(hulls.filter("copies > 1").select("core", "hull"), ["core", "hull"]).select(
-        "row_id", (F.col("at") - F.col("back")).alias("lo"), (F.col("at") - F.col("fwd")).alias("hi"))
+    done = attach_groups(repeated, hulls.filter("copies > 1").select("core", "hull", "copies"), ["core", "hull"], "copies").filter(
+        "copies is not null").select("row_id", (F.col("at") - F.col("back")).alias("lo"), (F.col("at") - F.col("fwd")).alias("hi"))
     mixed = hulls.groupBy("core").agg(F.count(F.lit(1)).alias("members"), F.min("copies").alias("least")).filter(
         "members > 1 and least = 1")
     open_ = settled(hulls.join(mixed, "core").select("core", "members", "copies", "one.*"), "open-anchors")

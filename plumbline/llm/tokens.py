@@ -10,10 +10,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import whole_texts
+from plumbline.llm.common import slices, whole_texts
+from plumbline.sources.shared import settled
 
 # Distinct pieces a Python worker remembers; beyond it starts afresh, so memory stays bounded.
 REMEMBERED = 600_000
@@ -33,97 +35,133 @@ def special_strings(tk) -> list[str]:
     return [t.content for t in tk.get_added_tokens_decoder().values()]
 
 
-class PreTokenCounts:
-    """Token counts of pre-tokens of a byte-level tokenizer, each encoded once while remembered.
+class PreTokens:
+    """Cuts texts into pre-tokens, of which each can be encoded by itself.
 
     A pre-token here runs from a space that a non-space follows to the next such space. The
     tokenizer's own pattern always starts a piece at such a space, so counts add up over pre-tokens.
+    Special strings are pre-tokens too; the library cuts a text at them first.
     """
 
     _after_space = re.compile(r" (?:\s|\Z)")
     _cut = re.compile(r" (?=\S)")
 
-    def __init__(self, path: str):
-        self.tk = tokenizer(path)
-        self.specials = special_strings(self.tk)
-        self.known: dict[str, int] = {}
-
-    def lookup(self, pieces: list[str]) -> np.ndarray:
-        """Counts of distinct pieces."""
-        known = self.known
-        missing = [p for p in pieces if p not in known]
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = pieces
-            for i in range(0, len(missing), 4096):
-                part = missing[i:i + 4096]
-                encoded = self.tk.encode_batch_fast(part, add_special_tokens=False)
-                known.update(zip(part, map(len, encoded)))
-        return np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
+    def __init__(self, specials: list[str]):
+        longest_first = sorted(specials, key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")" if specials else r"(?!)")
 
     def irregular(self, text: str) -> bool:
-        return self._after_space.search(text) is not None or any(s in text for s in self.specials)
-
-    def whole(self, text: str) -> int:
-        if any(s in text for s in self.specials):  # special strings cut a text before pre-tokens do
-            return len(self.tk.encode(text, add_special_tokens=False))
-        parts = self._cut.split(text)
-        return int(self.lookup([parts[0]] + [" " + p for p in parts[1:]]).sum())
-
-    def count(self, texts: pa.Array) -> np.ndarray:
-        """Tokens of each text: pre-tokens are coded over the batch, counted once, joined by code and summed."""
+        return self._after_space.search(text) is not None or self.special.search(text) is not None
+
+    def cut(self, text: str) -> list[str]:
+        out = []
+        for i, part in enumerate(self.special.split(text)):
+            if i % 2:
+                out.append(part)
+            elif part:
+                first, *rest = self._cut.split(part)
+                out += [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
+        return out
+
+    def coded(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The distinct pre-tokens of all texts, and for each pre-token of a text its text and its code."""
         texts = whole_texts(texts)
-        total = np.zeros(len(texts), np.int64)
         odd = np.fromiter((self.irregular(t) for t in texts.to_pylist()), bool, len(texts))
-        for i in np.flatnonzero(odd):
-            total[i] = self.whole(texts[i].as_py())
         rows = np.flatnonzero(~odd)
-        if len(rows):
-            # a space in front of every part but the first of its text
-            parts = pc.split_pattern(texts.take(pa.array(rows)), " ")
-            coded = parts.flatten().dictionary_encode()
-            codes, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-            starts = np.asarray(parts.offsets)[:-1] - parts.offsets[0].as_py()
-            spaced = self.lookup([" " + n for n in names])[codes]
-            heads = codes[starts]
-            first = {int(c): names[c] for c in np.unique(heads)}
-            bare = dict(zip(first, self.lookup(list(first.values()))))
-            spaced[starts] = [bare[int(c)] for c in heads]
-            total[rows] = np.add.reduceat(spaced, starts)
-        return total
+        # a space in front of every part but the first of its text
+        parts = pc.split_pattern(texts.take(pa.array(rows)), " ")
+        plain = parts.flatten().dictionary_encode()
+        codes, names = plain.indices.to_numpy().astype(np.int64), plain.dictionary.to_pylist()
+        bounds = np.asarray(parts.offsets, np.int64) - parts.offsets[0].as_py() if len(rows) else np.zeros(1, np.int64)
+        heads, n = codes[bounds[:-1]], len(names)
+        codes[bounds[:-1]] += n
+        pieces = [" " + name for name in names]
+        pieces += names if len(heads) else []
+        owners = [np.repeat(rows, np.diff(bounds))]
+        known = [codes]
+        for i in np.flatnonzero(odd):
+            found = self.cut(texts[i].as_py())
+            owners.append(np.full(len(found), i))
+            known.append(np.arange(len(pieces), len(pieces) + len(found)))
+            pieces += found
+        owner, code = np.concatenate(owners), np.concatenate(known)
+        used, code = np.unique(code, return_inverse=True)
+        merged = pa.array(pieces, pa.large_string()).take(pa.array(used)).dictionary_encode()
+        return merged.dictionary, owner, merged.indices.to_numpy().astype(np.int64)[code]
+
+    def frequencies(self, texts: pa.Array) -> tuple[pa.Array, list[bytes], list[bytes]]:
+        """The distinct pre-tokens of all texts, and of each text its codes and how often each occurs, as unsigned 32-bit numbers."""
+        names, owner, code = self.coded(texts)
+        pair, times = np.unique(owner * max(1, len(names)) + code, return_counts=True)
+        owner, code = np.divmod(pair, max(1, len(names)))
+        edges = 4 * np.searchsorted(owner, np.arange(len(texts) + 1))
+        codes, times = code.astype("<u4").tobytes(), times.astype("<u4").tobytes()
+        spans = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+        return names, [codes[a:b] for a, b in spans], [times[a:b] for a, b in spans]
+
+
+def frequency_rows(rows: DataFrame, specials: list[str]) -> DataFrame:
+    """Rows (``row``, ``text``) as ``row``, ``part``, ``codes`` and ``times``; the first row of a part of a few MB of text has its ``names``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, part = PreTokens(specials), TaskContext.get().partitionId() << 33
+        for batch in slices(batches, "text"):
+            names, codes, times = cutter.frequencies(batch.column("text"))
+            dictionary = pa.array([names.to_pylist(), *[None] * (batch.num_rows - 1)], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(np.full(batch.num_rows, part)), pa.array(codes, pa.binary()),
+                 pa.array(times, pa.binary()), dictionary], ["row", "part", "codes", "times", "names"])
+            part += 1
+
+    row = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row {row}, part bigint, codes binary, times binary, names array<string>")
 
 
-def counts_for(path: str) -> PreTokenCounts:
-    """The worker's own counter, which lives as long as the worker."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = PreTokenCounts(path)
-    return _COUNTERS[path]
+def piece_counts(pieces: DataFrame, path: str) -> DataFrame:
+    """``piece`` and ``tokens``, each distinct piece being encoded once."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tk = tokenizer(path)
+        for batch in slices(batches, "piece", 1 << 20):
+            encoded = tk.encode_batch_fast(batch.column("piece").to_pylist(), add_special_tokens=False)
+            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(map(len, encoded), pa.int64())], ["piece", "tokens"])
 
-_COUNTERS: dict[str, PreTokenCounts] = {}
+    return pieces.mapInArrow(run, "piece string, tokens bigint")
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int) -> DataFrame:
     """``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` for each row, beside its columns but ``text``.
 
-    ``path`` is a byte-level ``tokenizers`` file. Ids are never kept: a batch's texts are cut into
-    pre-tokens, each distinct pre-token is encoded once, and a document's tokens are its pre-token
-    frequencies joined to those counts and summed. Null texts count as empty, with 0 tokens; special
-    strings inside texts count as the library counts them; columns of ``docs`` with the names of the
-    result give way to it; repeated rows stay. No shuffle: a lost task repeats its own split only.
+    ``path`` is a byte-level ``tokenizers`` file. Every document becomes its pre-token frequencies,
+    with codes into the dictionary of its part of about 4 MB of text. The distinct pre-tokens of all
+    dictionaries are counted once each and written; the counts return to the dictionaries by
+    pre-token and meet the frequencies by part, where they are summed. Ids are never kept.
+
+    Null texts count as empty, with 0 tokens; special strings inside texts count as the library counts
+    them; a very long text is a part of its own and is counted whole; columns of ``docs`` with the
+    names of the result give way to it and no other name clashes; repeated rows stay; there are no
+    ties; an empty table gives no rows.
     """
     kept = [c for c in docs.columns if c not in ("text", "n_bytes", "n_tokens", "over_limit")]
-    rows = docs.select(*kept, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = counts_for(path)
-        for batch in batches:
-            n = pa.array(counter.count(batch.column(batch.num_columns - 1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n], [*kept, "n_bytes", "n_tokens"])
-
-    schema = rows.drop("text").withColumn("n_tokens", F.lit(0).cast("long")).schema
-    return rows.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    rows = docs.select(F.struct(*kept, size).alias("row"), "text")
+    found = settled(frequency_rows(rows, special_strings(tokenizer(path))), "pre-token-frequencies")
+    names = found.filter(F.col("names").isNotNull()).select(F.col("part").alias("of_part"), F.posexplode("names").alias("code", "piece"))
+    counted = settled(piece_counts(names.select("piece").distinct(), path), "pre-tokens")
+    counts = names.join(counted, "piece").select("of_part", "code", "tokens")
+    fields = [*kept, "n_bytes", "n_tokens"]
+
+    def total(documents: pa.Table, tokens: pa.Table) -> pa.Table:
+        table = np.zeros(tokens.num_rows, np.int64)
+        table[np.array(tokens.column("code"))] = np.array(tokens.column("tokens"))
+        row, codes, times = (documents.column(c).combine_chunks() for c in ("row", "codes", "times"))
+        n = [int(table[np.frombuffer(c.as_buffer(), "<u4")] @ np.frombuffer(t.as_buffer(), "<u4").astype(np.int64))
+             for c, t in zip(codes, times)]
+        return pa.Table.from_arrays([*row.flatten(), pa.array(n, pa.int64())], fields)
+
+    schema = found.select("row.*").withColumn("n_tokens", F.lit(0).cast("long")).schema
+    summed = found.select("part", "row", "codes", "times").groupBy("part").cogroup(counts.groupBy("of_part")).applyInArrow(total, schema)
+    return summed.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def byte_characters() -> dict[int, int]:

@@ -27,6 +27,25 @@ def test_token_counts_equal_the_library(spark):
     assert all(r.over_limit == (r.n_tokens > 20) for r in got)
 
 
+def test_token_counts_of_special_strings_and_many_parts(spark, monkeypatch):
+    from plumbline.llm import tokens
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tk, rng = tokenizers.Tokenizer.from_file(path), random.Random(4)
+    special = "<|endoftext|>"
+    texts = [special, special * 3, f" {special} ", f"a {special}b  c", f"x\n{special}\ty {special[:-1]}", "nospace" * 20000, " ", "  "]
+    texts += [special.join(prose(rng, 4) + rng.choice(["", " ", "\n"]) for _ in range(3)) for _ in range(20)] + ["the same words"] * 50
+    cutter = tokens.PreTokens([special])
+    for t in texts:
+        assert "".join(cutter.cut(t)) == t
+    monkeypatch.setattr(tokens.slices, "__defaults__", (200,))  # a part for every few texts
+    rows = list(enumerate(texts)) + [(3, texts[3]), (None, "a b")]
+    got = count_tokens(documents(spark, rows), path, 5).collect()
+    assert sorted([(r.doc_id, r.n_tokens) for r in got], key=str) == sorted([(d, len(tk.encode(t).ids)) for d, t in rows], key=str)
+    clash = documents(spark, rows).withColumnsRenamed({"lang": "row", "source": "part"}).withColumns({"codes": F.lit("c"), "names": F.lit(1)})
+    assert {(r["row"], r.codes, r.names) for r in count_tokens(clash, path, 5).collect()} == {("en", "c", 1)}
+
+
 def test_token_counts_of_empty_and_clashing_tables(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     assert count_tokens(spark.createDataFrame([], DOCUMENT), path, 5).count() == 0
