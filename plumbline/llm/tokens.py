@@ -10,12 +10,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import slices, whole_texts
-from plumbline.sources.shared import settled
 
 # Distinct pieces a Python worker remembers; beyond it starts afresh, so memory stays bounded.
 REMEMBERED = 600_000
@@ -89,53 +87,60 @@ class PreTokens:
         merged = pa.array(pieces, pa.large_string()).take(pa.array(used)).dictionary_encode()
         return merged.dictionary, owner, merged.indices.to_numpy().astype(np.int64)[code]
 
-    def frequencies(self, texts: pa.Array) -> tuple[pa.Array, list[bytes], list[bytes]]:
-        """The distinct pre-tokens of all texts, and of each text its codes and how often each occurs, as unsigned 32-bit numbers."""
+    def frequencies(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct pre-tokens of all texts; and, for each that a text has, the text, its code and how often it occurs there."""
         names, owner, code = self.coded(texts)
-        pair, times = np.unique(owner * max(1, len(names)) + code, return_counts=True)
-        owner, code = np.divmod(pair, max(1, len(names)))
-        edges = 4 * np.searchsorted(owner, np.arange(len(texts) + 1))
-        codes, times = code.astype("<u4").tobytes(), times.astype("<u4").tobytes()
-        spans = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
-        return names, [codes[a:b] for a, b in spans], [times[a:b] for a, b in spans]
+        width = max(1, len(names))
+        pairs, times = np.unique(owner * width + code, return_counts=True)
+        return names.to_pylist(), pairs // width, pairs % width, times
 
 
-def frequency_rows(rows: DataFrame, specials: list[str]) -> DataFrame:
-    """Rows (``row``, ``text``) as ``row``, ``part``, ``codes`` and ``times``; the first row of a part of a few MB of text has its ``names``."""
+class PieceCounts:
+    """Token counts of pre-tokens, each encoded once while remembered."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, part = PreTokens(specials), TaskContext.get().partitionId() << 33
-        for batch in slices(batches, "text"):
-            names, codes, times = cutter.frequencies(batch.column("text"))
-            dictionary = pa.array([names.to_pylist(), *[None] * (batch.num_rows - 1)], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(np.full(batch.num_rows, part)), pa.array(codes, pa.binary()),
-                 pa.array(times, pa.binary()), dictionary], ["row", "part", "codes", "times", "names"])
-            part += 1
+    def __init__(self, path: str):
+        self.tk = tokenizer(path)
+        self.cutter = PreTokens(special_strings(self.tk))
+        self.known: dict[str, int] = {}
 
-    row = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {row}, part bigint, codes binary, times binary, names array<string>")
+    def lookup(self, pieces: list[str]) -> np.ndarray:
+        """Counts of distinct pieces."""
+        known = self.known
+        missing = [p for p in pieces if p not in known]
+        if missing:
+            if len(known) + len(missing) > REMEMBERED:
+                known.clear()
+                missing = pieces
+            for i in range(0, len(missing), 4096):
+                part = missing[i:i + 4096]
+                known.update(zip(part, map(len, self.tk.encode_batch_fast(part, add_special_tokens=False))))
+        return np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
 
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text: its pre-token frequencies joined by code to the counts of distinct pre-tokens."""
+        names, owner, code, times = self.cutter.frequencies(texts)
+        total = np.zeros(len(texts), np.int64)
+        np.add.at(total, owner, self.lookup(names)[code] * times)
+        return total
 
-def piece_counts(pieces: DataFrame, path: str) -> DataFrame:
-    """``piece`` and ``tokens``, each distinct piece being encoded once."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tk = tokenizer(path)
-        for batch in slices(batches, "piece", 1 << 20):
-            encoded = tk.encode_batch_fast(batch.column("piece").to_pylist(), add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(map(len, encoded), pa.int64())], ["piece", "tokens"])
+def counts_for(path: str) -> PieceCounts:
+    """The worker's own counter, which lives as long as the worker."""
+    if path not in _COUNTERS:
+        _COUNTERS[path] = PieceCounts(path)
+    return _COUNTERS[path]
 
-    return pieces.mapInArrow(run, "piece string, tokens bigint")
+
+_COUNTERS: dict[str, PieceCounts] = {}
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int) -> DataFrame:
     """``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` for each row, beside its columns but ``text``.
 
-    ``path`` is a byte-level ``tokenizers`` file. Every document becomes its pre-token frequencies,
-    with codes into the dictionary of its part of about 4 MB of text. The distinct pre-tokens of all
-    dictionaries are counted once each and written; the counts return to the dictionaries by
-    pre-token and meet the frequencies by part, where they are summed. Ids are never kept.
+    ``path`` is a byte-level ``tokenizers`` file. Texts are taken in parts of about 4 MB. A part's
+    documents become pre-token frequencies over a table of its distinct pre-tokens; each of these is
+    encoded once, and their counts are joined to the frequencies by code and summed. Ids are never
+    kept. Nothing is shuffled: a lost task repeats its own split only.
 
     Null texts count as empty, with 0 tokens; special strings inside texts count as the library counts
     them; a very long text is a part of its own and is counted whole; columns of ``docs`` with the
@@ -143,25 +148,16 @@ def count_tokens(docs: DataFrame, path: str, limit: int) -> DataFrame:
     ties; an empty table gives no rows.
     """
     kept = [c for c in docs.columns if c not in ("text", "n_bytes", "n_tokens", "over_limit")]
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
-    rows = docs.select(F.struct(*kept, size).alias("row"), "text")
-    found = settled(frequency_rows(rows, special_strings(tokenizer(path))), "pre-token-frequencies")
-    names = found.filter(F.col("names").isNotNull()).select(F.col("part").alias("of_part"), F.posexplode("names").alias("code", "piece"))
-    counted = settled(piece_counts(names.select("piece").distinct(), path), "pre-tokens")
-    counts = names.join(counted, "piece").select("of_part", "code", "tokens")
-    fields = [*kept, "n_bytes", "n_tokens"]
-
-    def total(documents: pa.Table, tokens: pa.Table) -> pa.Table:
-        table = np.zeros(tokens.num_rows, np.int64)
-        table[np.array(tokens.column("code"))] = np.array(tokens.column("tokens"))
-        row, codes, times = (documents.column(c).combine_chunks() for c in ("row", "codes", "times"))
-        n = [int(table[np.frombuffer(c.as_buffer(), "<u4")] @ np.frombuffer(t.as_buffer(), "<u4").astype(np.int64))
-             for c, t in zip(codes, times)]
-        return pa.Table.from_arrays([*row.flatten(), pa.array(n, pa.int64())], fields)
-
-    schema = found.select("row.*").withColumn("n_tokens", F.lit(0).cast("long")).schema
-    summed = found.select("part", "row", "codes", "times").groupBy("part").cogroup(counts.groupBy("of_part")).applyInArrow(total, schema)
-    return summed.withColumn("over_limit", F.col("n_tokens") > limit)
+    rows = docs.select(*kept, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = counts_for(path)
+        for batch in slices(batches, "text"):
+            n = pa.array(counter.count(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n], [*kept, "n_bytes", "n_tokens"])
+
+    schema = rows.drop("text").withColumn("n_tokens", F.lit(0).cast("long")).schema
+    return rows.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
 def byte_characters() -> dict[int, int]:
