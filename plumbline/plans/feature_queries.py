@@ -271,8 +271,15 @@ def median_imputed(spark, sf_dir):
     return models.impute(test(spark, sf_dir), medians).select("test_id", *SENSORS)
 
 
-@query(f"""SELECT test_id, {", ".join(f"round(({c} - m_{c}) / d_{c}, 5) AS {c}_z" for c in M)} FROM bench,
-       (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in M)} FROM bench)""")
+def _standardised_sql():
+    # rows and their moments are worked out once each
+    moments = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in M)
+    cells = ", ".join(f"round(({c} - m_{c}) / d_{c}, 5) AS {c}_z" for c in M)
+    return f"""WITH rows AS MATERIALIZED (SELECT test_id, {", ".join(M)} FROM bench), moments AS MATERIALIZED (SELECT {moments} FROM rows)
+       SELECT test_id, {cells} FROM rows, moments"""
+
+
+@query(_standardised_sql())
 def standardised(spark, sf_dir):
     out = models.standardise(bench(spark, sf_dir), M)
     return rounded(out, [f"{c}_z" for c in M], 5).select("test_id", *[f"{c}_z" for c in M])

@@ -48,11 +48,21 @@ def stream_duplicates(spark, sf_dir):
         F.date_format("span.start", "yyyy-MM-dd").alias("day"), *cols, "n", "first_id", "last_id")
 
 
-@query()
+@query(f"""WITH {SCORED_SQL} SELECT strftime(date_trunc('day', ts) - k * INTERVAL 1 DAY, '%Y-%m-%d') AS day, count(r) AS n, true AS near_median
+       FROM s, (VALUES (0), (1)) AS o(k)
+       WHERE date_trunc('day', ts) - k * INTERVAL 1 DAY + INTERVAL 2 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM s) GROUP BY 1""")
 def stream_rolling_threshold(spark, sf_dir):
-    out = live.rolling_threshold(scored(spark, sf_dir), "residual_value", "ts", "2 days", "1 day", "1 day")
-    latest = live.upsert_latest(run(spark, out, "update"), ["span"])
-    return latest.select(F.date_format("span.start", "yyyy-MM-dd").alias("day"), "n", "threshold")
+    """Two-day windows that are over, and whether each threshold belongs to a rank within two per cent of the exact median."""
+    window = ("2 days", "1 day")
+    out = run(spark, live.rolling_threshold(scored(spark, sf_dir), "residual_value", "ts", *window, "1 day"), "append")
+    rows = live.score_stream(live.event_time(table(spark, sf_dir, "events"), "ts"), TWIN, 20.0).select(
+        F.window("ts", *window).alias("span"), (F.abs("residual_value") * F.lit(7.0 * 1.4826)).alias("size"))
+    limits = out.select("span", "n", "threshold")
+    # the threshold is a residual of the window, so ranks below it and up to it must enclose the middle
+    return (rows.join(limits, "span").groupBy("span", "n")
+            .agg(F.count_if(F.col("size") < F.col("threshold")).alias("below"), F.count_if(F.col("size") <= F.col("threshold")).alias("upto"))
+            .select(F.date_format("span.start", "yyyy-MM-dd").alias("day"), "n",
+                    ((F.col("below") <= 0.52 * F.col("n") + 1) & (F.col("upto") >= 0.48 * F.col("n") - 1)).alias("near_median")))
 
 
 @query(f"WITH {SCORED_SQL} SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, bucket, count(*) AS n FROM s GROUP BY ALL")
@@ -63,18 +73,18 @@ def stream_bucket_counts(spark, sf_dir):
 
 
 def arriving(spark, sf_dir):
-    """The events in three files, the last with rows of the first days that come too late.
+    """The events in three arrivals of several files each, the last with rows of the first days that come too late.
 
-    A micro-batch drops what the watermark of the one before it has passed, so it takes two to make rows late.
+    An arrival has a file a core, and as many files make a micro-batch. A micro-batch drops what the watermark of the one before it has passed, so it takes two to make rows late.
     """
-    path, day = shared_folder(spark, "arrivals"), F.to_date("ts")
+    path, day, files = shared_folder(spark, "arrivals"), F.to_date("ts"), spark.sparkContext.defaultParallelism
     rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     first = rows.agg(F.min(day)).scalar()
     late = (F.col("event_id") % 9 == 4) & (day <= F.date_add(first, 5))
     even = F.col("event_id") % 2 == 0
     for part in (rows.filter(~late & even), rows.filter(~late & ~even), rows.filter(late)):
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 ARRIVING_SQL = f"""{SCORED_SQL}, d AS (SELECT *, event_id % 9 = 4 AND CAST(ts AS DATE) <= (SELECT min(CAST(ts AS DATE)) FROM events) + 5

@@ -53,11 +53,21 @@ def duplicate_groups(latest: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def rolling_threshold(sdf: DataFrame, residual: str, ts: str, window: str, slide: str, delay: str, k: float = 7.0,
-                      floor: float = 1e-6, accuracy: int = 1000) -> DataFrame:
-    """Spike threshold per sliding window: ``k`` robust deviations of the residuals inside it."""
-    size = F.percentile_approx(F.abs(F.col(residual)), 0.5, accuracy)
-    return (sdf.withWatermark(ts, delay).groupBy(F.window(ts, window, slide).alias("span"))
-            .agg(F.count(residual).alias("n"), F.greatest(size * F.lit(k * 1.4826), F.lit(floor)).alias("threshold")))
+                      floor: float = 1e-6, size: int = 400) -> DataFrame:
+    """Spike threshold per sliding window: ``k`` robust deviations of the residuals inside it.
+
+    A row enters the one sketch of its slide; a window's sketch is merged from those of its slides, so
+    ``window`` must be a multiple of ``slide``. Use append mode: a window comes once, when the
+    watermark has passed its end. With ``size`` 400 the median's rank is off by less than one per
+    cent in 99 of 100 windows. A window without residuals has threshold NULL.
+    """
+    parts = (sdf.withWatermark(ts, delay).groupBy(F.window(ts, slide).alias("slide"))
+             .agg(F.count(residual).alias("n"), F.kll_sketch_agg_double(F.abs(F.col(residual)).cast("double"), F.lit(size)).alias("sketch")))
+    spans = (parts.groupBy(F.window(F.window_time("slide"), window, slide).alias("span"))
+             .agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(size)).alias("sketch")))
+    middle = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5).cast("double")))
+    scaled = middle * F.lit(k * 1.4826)
+    return spans.select("span", "n", F.when(scaled.isNotNull(), F.greatest(scaled, F.lit(floor))).alias("threshold"))
 
 
 def bucket_counts(sdf: DataFrame, ts: str, span: str, delay: str, bucket: str = "bucket",
