@@ -79,3 +79,17 @@ def test_hot_vectors_are_spread_and_added_up(spark, small):
     assert latest.groupBy(*cols, "span").count().agg(F.max("count")).first()[0] == 8
     n = live.duplicate_groups(latest, cols).agg(F.sum("n")).first()[0]
     assert n == table(spark, small, "events").count()
+
+
+def test_rolling_thresholds_merge_slides_and_keep_windows_without_residuals(spark, tmp_path):
+    rows = [(f"2024-01-0{1 + d} 0{i}:00:00", float(v) if d != 4 else None) for d in range(8) for i, v in enumerate([-3 - d, 1, 2 + d])]
+    rows = spark.createDataFrame(rows, "ts string, r double").withColumn("ts", F.col("ts").cast("timestamp"))
+    src = str(tmp_path / "in")
+    rows.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(rows.schema).parquet(src)
+    out = live.rolling_threshold(stream, "r", "ts", "2 days", "1 day", "1 hour", k=1 / 1.4826)
+    got, _ = live.run_available(out, str(tmp_path / "o"), str(tmp_path / "c"), "append")
+    found = {r.day: (r.n, r.threshold) for r in got.select(F.dayofmonth("span.start").alias("day"), "n", "threshold").collect()}
+    # sizes of day d are 3 + d, 1, 2 + d; day 4 has none, and the window from the seventh day on is still open
+    assert {d: n for d, (n, _) in found.items()} == {31: 3, 1: 6, 2: 6, 3: 6, 4: 3, 5: 3, 6: 6}
+    assert found[31][1] == 2.0 and found[4][1] == 5.0 and 2.0 <= found[1][1] <= 3.0
