@@ -1,5 +1,6 @@
 """Ranks of many columns at once, against plain numpy."""
 import numpy as np
+from pyspark.sql import functions as F
 
 from plumbline.operators import ranks, stats
 
@@ -42,3 +43,13 @@ def test_spearman_of_repeated_ids_and_constants(spark):
     x, y = np.array([2.5, 2.0, 3.0]), np.array([2.0, 1.0, 3.0])
     assert abs(got["a", "b"] - np.corrcoef(x, y)[0, 1]) < 1e-12
     assert got["a", "k"] is None and got["b", "k"] is None
+
+
+def test_submission_checks_with_ids_near_64_bits(spark, small, tmp_path):
+    from plumbline.plans.twin_queries import submission_checks
+
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    lines.withColumn("l_orderkey", F.col("l_orderkey") + 9_000_000).write.parquet(f"{tmp_path}/lineitem.parquet")
+    far, near = submission_checks(spark, str(tmp_path)).first(), submission_checks(spark, small).first()
+    assert far.repeated_ids == 0 and near.repeated_ids == 0
+    assert min(far.missing_ids, far.extra_ids, far.bad_values, far.bad_labels) > 0
