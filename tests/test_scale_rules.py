@@ -83,3 +83,17 @@ def test_ridge_on_columns_of_very_different_sizes(spark):
                                    (F.col("id") % 7 * 1e-6).alias("tiny")).withColumn("y", F.col("big") - 1e9 + 1e6 * F.col("tiny"))
     per = benchmark.ridge_by_set(rows, {"both": ["big", "tiny"]}, "y", "fold", alpha=1e-6).collect()
     assert len(per) == 4 and all(r.r2 > 0.999999 for r in per)
+
+
+def test_rows_numbered_by_id_are_spread_over_ranges(spark):
+    from plumbline.operators.folds import numbered
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select((F.col("id") * 7 % 4001 - 2000).alias("id"))
+        got = numbered(df, [F.col("id")], hashed=False).withColumn("_task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r._i for r in sorted(got)] == list(range(4000))
+    tasks = [r._task for r in got]
+    assert max(tasks.count(t) for t in set(tasks)) < 3000
