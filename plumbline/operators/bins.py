@@ -64,6 +64,12 @@ def _range_row(df: DataFrame, cols: Sequence[str]) -> Column:
                              .alias(c) for c in cols]).alias("_r")).scalar()
 
 
+def _range_values(df: DataFrame, cols: Sequence[str]) -> list[tuple[float | None, float | None]]:
+    """Smallest and largest value of each column."""
+    row = df.agg(*[f(c).cast("double").alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("lo", F.min), ("hi", F.max))]).first()
+    return [(row[f"lo{i}"], row[f"hi{i}"]) for i in range(len(cols))]
+
+
 def equal_width_bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Bin 0…bins-1 of an equal-width grid over ``[lo, hi]``; the last bin is closed on both sides.
 
@@ -81,14 +87,16 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40, by: Sequence[s
 
     All groups share one grid, spanning the column's range over the whole table.
     """
-    spanned = df.select(*by, *cols, _range_row(df, cols).alias("_r"))
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_r.{c}.lo").alias("_lo"), F.col(f"_r.{c}.hi").alias("_hi"),
-                 equal_width_bin(F.col(c), F.col(f"_r.{c}.lo"), F.col(f"_r.{c}.hi"), bins).alias("bin"))
-        for c in cols])
-    counted = (spanned.select(*by, F.inline(cells)).filter(F.col("bin").isNotNull())
-               .groupBy(*by, "column", "bin").agg(F.count("*").alias("n"), F.first("_lo").alias("_lo"),
-                                                  F.first("_hi").alias("_hi")))
+    cols = list(dict.fromkeys(cols))
+    ends = _range_values(df, cols)
+    # a cell is a number and a value: the grid of its column is looked up, so the code stays small enough to be compiled
+    of = {k: F.array(*[F.lit(e[i]).cast("double") for e in ends]) for i, k in enumerate(("_lo", "_hi"))}
+    lo, hi = (F.get(of[k], F.col("_c")) for k in ("_lo", "_hi"))
+    cells = df.select(*by, F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("_c", "_v")).filter("_v is not null")
+    counted = (cells.select(*by, "_c", equal_width_bin(F.col("_v"), lo, hi, bins).alias("bin"))
+               .groupBy(*by, "_c", "bin").agg(F.count("*").alias("n"))
+               .select(*by, F.get(F.array(*[F.lit(c) for c in cols]), F.col("_c")).alias("column"), "bin", "n",
+                       lo.alias("_lo"), hi.alias("_hi")))
     flat = F.col("_lo") == F.col("_hi")
     width = F.when(flat, F.lit(1.0)).otherwise(F.col("_hi") - F.col("_lo")) / bins
     start = F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo"))

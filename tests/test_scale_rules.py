@@ -97,3 +97,26 @@ def test_rows_numbered_by_id_are_spread_over_ranges(spark):
     assert [r._i for r in sorted(got)] == list(range(4000))
     tasks = [r._task for r in got]
     assert max(tasks.count(t) for t in set(tasks)) < 3000
+
+
+def test_histogram_counts_cells_by_number(spark):
+    """One small expression bins every cell: one per column left the generated code too large to be compiled."""
+    from plumbline.operators import bins
+
+    cols = [f"c{i}" for i in range(9)]
+    rows = [("a" if k % 3 else "b", *[None if k == i else float(k * (i + 1)) for i in range(8)], 2.0) for k in range(40)]
+    df = spark.createDataFrame(rows, "label string, " + ", ".join(f"{c} double" for c in cols))
+    out = bins.histogram(df, cols, 4, ["label"], density=True)
+    plan = bins.histogram(df, cols, 4, ["label"])._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("floor(") == 1
+    got = {(r.label, r.column, r.bin): (r.left, r.n) for r in out.collect()}
+    want = {}
+    for i, c in enumerate(cols):
+        values = [(r[0], r[1 + i]) for r in rows if r[1 + i] is not None]
+        lo, hi = min(v for _, v in values), max(v for _, v in values)
+        start, width = (lo - 0.5, 1.0) if lo == hi else (lo, hi - lo)
+        for label, v in values:
+            b = min(int((v - start) / width * 4), 3)
+            left, n = want.get((label, c, b), (start + b * (width / 4), 0))
+            want[label, c, b] = left, n + 1
+    assert got == want
