@@ -53,3 +53,30 @@ def test_submission_checks_with_ids_near_64_bits(spark, small, tmp_path):
     far, near = submission_checks(spark, str(tmp_path)).first(), submission_checks(spark, small).first()
     assert far.repeated_ids == 0 and near.repeated_ids == 0
     assert min(far.missing_ids, far.extra_ids, far.bad_values, far.bad_labels) > 0
+
+
+def test_two_sample_sums_with_nan_and_infinite_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rng = np.random.default_rng(5)
+    a = np.round(rng.normal(size=3000), 2)
+    a[rng.random(3000) < 0.4] = nan
+    a[:40], a[40:90] = inf, -inf
+    f = rng.random(3000) < 0.3
+    df = spark.createDataFrame([(float(x), None if i % 50 == 0 else float(x > 0), None if i % 7 == 0 else bool(y)) for i, (x, y) in enumerate(zip(a, f))],
+                               "a double, b double, f boolean")
+    nans = spark.createDataFrame([(nan,)] * 50 + [(inf,)] * 50, "a double")
+    assert ranks.fit_slots(ranks.marked_values(nans, ["a"], []), 1, 0).in_gaps == 0  # a value many rows share does not travel
+
+    known = np.arange(3000) % 7 > 0
+    got = {r[0]: r[1:] for r in ranks.two_sample_sums(df, ["a", "b"], F.col("f"))}
+    flagged = f & known  # an unknown flag is no flag
+    for c, v, there in (("a", a, np.ones(3000, bool)), ("b", (a > 0).astype(float), np.arange(3000) % 50 > 0)):
+        code = np.unique(v[there], return_inverse=True)[1]
+        y, n = flagged[there], np.bincount(code)
+        rank = _average_ranks(code)
+        n0, n1, rank_sum, ties, gap = got[c]
+        assert (n0, n1) == ((~y).sum(), y.sum()) and rank_sum == rank[y].sum() and ties == (n.astype(float) ** 3 - n).sum()
+        apart = np.cumsum(np.bincount(code, y)) / y.sum() - np.cumsum(np.bincount(code, ~y)) / (~y).sum()
+        assert abs(gap - np.abs(apart).max()) < 1e-12
+    row = {r.column: r for r in stats.ks_2samp(df, ["a", "b"], F.col("f")).collect()}
+    assert row["a"].n_a == flagged.sum() and row["a"].n_a + row["a"].n_b == known.sum()  # rows of unknown sample are in neither
