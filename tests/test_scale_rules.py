@@ -120,3 +120,14 @@ def test_histogram_counts_cells_by_number(spark):
             left, n = want.get((label, c, b), (start + b * (width / 4), 0))
             want[label, c, b] = left, n + 1
     assert got == want
+
+
+def test_near_duplicates_shuffle_hashes_not_vectors(spark):
+    from plumbline.operators import dedup
+
+    rows = [(None, 1.0), (1.0, None), (None, 1.0004), (None, None), (0.0, 2.0), (-0.0, 2.0), (0.26, 5.0), (0.34, 5.0), (float("nan"), 3.0), (float("nan"), 3.0)]
+    out = dedup.near_duplicates(spark.createDataFrame(rows, "a double, b double"), ["a", "b"], (4, 3, 0))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(decimals" in plan.replace(" ", "") and "knownfloatingpointnormalized" not in plan  # no measurement is a key
+    got = {r.decimals: (r.n_rows, r.n_groups) for r in out.collect()}
+    assert got == {4: (4, 2), 3: (6, 3), 0: (8, 4)}
