@@ -131,3 +131,29 @@ def test_near_duplicates_shuffle_hashes_not_vectors(spark):
     assert "hashpartitioning(decimals" in plan.replace(" ", "") and "knownfloatingpointnormalized" not in plan  # no measurement is a key
     got = {r.decimals: (r.n_rows, r.n_groups) for r in out.collect()}
     assert got == {4: (4, 2), 3: (6, 3), 0: (8, 4)}
+
+
+def test_isolation_forest_scores_fitted_rows_once(spark, monkeypatch):
+    import numpy as np
+    from plumbline.operators import anomaly
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 2)).round(2)
+    df = spark.createDataFrame([(i, float(a), None if i == 7 else float(b)) for i, (a, b) in enumerate(x)], "id long, a double, b double")
+    kept = []
+    monkeypatch.setattr(anomaly, "settled", lambda d, purpose: kept.append(d.localCheckpoint()) or kept[-1])
+    forest = anomaly.fit_isolation(df, ["a", "b"], "id", trees=5, sample=64)
+    assert [d.columns for d in kept] == [["s"]]  # the quantile reads written scores
+
+    def walked(row):
+        depth = 0.0
+        for feature, cut, left, right, leaf in forest.trees:
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] if row[feature[at]] < cut[at] else right[at]
+            depth += leaf[at]
+        return -np.exp2(-depth / len(forest.trees) / anomaly.average_depth(forest.sample))
+
+    got = {r.id: r.s for r in df.select("id", forest.score().alias("s")).collect()}
+    assert got[7] is None and all(got[i] == walked(x[i]) for i in range(600) if i != 7)
+    assert sorted(r.s for r in kept[0].collect()) == sorted(v for v in got.values() if v is not None)
