@@ -157,3 +157,21 @@ def test_isolation_forest_scores_fitted_rows_once(spark, monkeypatch):
     got = {r.id: r.s for r in df.select("id", forest.score().alias("s")).collect()}
     assert got[7] is None and all(got[i] == walked(x[i]) for i in range(600) if i != 7)
     assert sorted(r.s for r in kept[0].collect()) == sorted(v for v in got.values() if v is not None)
+
+
+def test_ablations_of_the_same_rows_share_their_passes(spark, monkeypatch):
+    from plumbline.operators import benchmark
+
+    rows = [(i % 5, i % 11 > 0, float(i % 13), float(i % 7), float((i * i) % 29)) for i in range(300)]
+    df = spark.createDataFrame(rows, "fold int, ok boolean, a double, b double, y double").withColumn("_score", F.col("ok"))
+    ok = F.col("ok")
+    cfg = {"one": {"inputs": ["a", "b"], "degree": 1, "train": ok}, "three": {"inputs": ["a", "b"], "degree": 3, "train": ok},
+           "all": {"inputs": ["a", "b"], "degree": 3}}
+    apart = {c: benchmark.ablate(df, {c: cfg[c]}, "y", "fold").first() for c in cfg}
+    passes, real = [], benchmark.moments
+    monkeypatch.setattr(benchmark, "moments", lambda *args: passes.append(1) or real(*args))
+    got = {r.config: r for r in benchmark.ablate(df, cfg, "y", "fold").collect()}
+    assert len(passes) == 2
+    for c, want in apart.items():
+        assert got[c].n == want.n and all(abs(got[c][k] - want[k]) < 1e-9 for k in ("mae", "mae_std", "mae_worst", "r2_mean"))
+    assert abs(got["one"].mae - got["three"].mae) > 1e-6
