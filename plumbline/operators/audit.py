@@ -4,9 +4,11 @@ All columns of a table are audited in one aggregate; results are one row per col
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.ordered import quantile_values, quantiles
@@ -36,6 +38,52 @@ def per_cell(df: DataFrame, cols: Sequence[str], stats: Mapping[str, Callable[[C
             .agg(*[f(F.col("value")).alias(s) for s, f in stats.items()]))
 
 
+def column_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows ``(column, n_missing, mean, std, min, max)`` over each numeric column's values.
+
+    Tasks work through whole batches and give one entry per column, which are then combined. No
+    rows, no entries. NaN counts as larger than any number, as in Spark's own aggregates.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        facts = np.zeros((len(cols), 6))  # rows missing, rows there, their sum, squares about their mean, least, most
+        facts[:, 4:] = np.nan
+        seen = False
+        for batch in batches:
+            seen = seen or batch.num_rows > 0
+            flat = batch.column(0).flatten()
+            there = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, len(cols))
+            values = flat.to_numpy(zero_copy_only=False).reshape(-1, len(cols))
+            for f, ok, v in zip(facts, there.T, values.T):
+                v = v[ok]
+                f[0] += len(ok) - len(v)
+                if len(v):
+                    with np.errstate(invalid="ignore", over="ignore"):
+                        total = v.sum()
+                        squares, n = np.square(v - total / len(v)).sum(), f[1]
+                        if n:
+                            squares += f[3] + (total / len(v) - f[2] / n) ** 2 * n * len(v) / (n + len(v))
+                    f[4] = np.fmin(f[4], np.fmin.reduce(v))
+                    f[5] = np.maximum(f[5], v.max()) if n else v.max()
+                    f[1:4] = n + len(v), f[2] + total, squares
+        if seen:
+            there = facts[:, 1] > 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols, pa.string()), pa.array(facts[:, 0].astype(np.int64)), pa.array(facts[:, 1].astype(np.int64)),
+                 *[pa.array(facts[:, i], mask=~there, from_pandas=False) for i in range(2, 6)]], ["column", "gaps", "n", "s", "q", "low", "high"])
+
+    cols = list(cols)
+    wide = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("cells"))
+    parts = wide.mapInArrow(run, "column string, gaps long, n long, s double, q double, low double, high double")
+    whole = Window.partitionBy("column")
+    mean = F.sum("s").over(whole) / F.nullif(F.sum("n").over(whole), F.lit(0))
+    off = F.col("s") / F.nullif(F.col("n"), F.lit(0)) - F.col("_mean")
+    n = F.sum("n")
+    return parts.withColumn("_mean", mean).groupBy("column").agg(
+        F.sum("gaps").alias("n_missing"), (F.sum("s") / F.nullif(n, F.lit(0))).alias("mean"),
+        F.when(n > 1, F.sqrt(F.sum(F.col("q") + F.col("n") * off * off) / F.nullif(n - 1, F.lit(0)))).alias("std"),
+        F.min("low").alias("min"), F.max("high").alias("max"))
+
+
 def missing(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Missing count and percentage (2 places) per column, per group when ``by`` is given."""
     cols = cols or [c for c in df.columns if c not in by]
@@ -139,12 +187,10 @@ def drop_constant(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def catalog(train: DataFrame, test: DataFrame, cols: Sequence[str], decimals: int = 4) -> DataFrame:
     """Per feature: missing in train and test, and the train column's mean, deviation and range."""
-    stats = per_cell(train, cols, {
-        "n_missing_train": lambda v: F.count_if(v.isNull()), "mean": lambda v: F.round(F.avg(v), decimals),
-        "std": lambda v: F.round(F.stddev_samp(v), decimals), "min": lambda v: F.round(F.min(v), decimals),
-        "max": lambda v: F.round(F.max(v), decimals)})
+    stats = column_moments(train, cols).select(
+        "column", F.col("n_missing").alias("n_missing_train"), *[F.round(c, decimals).alias(c) for c in ("mean", "std", "min", "max")])
     there = [c for c in cols if c in test.columns]
-    other = per_cell(test, there, {"n_missing_test": lambda v: F.count_if(v.isNull())})
+    other = column_moments(test, there).select("column", F.col("n_missing").alias("n_missing_test"))
     return (stats.join(F.broadcast(other), "column", "left")
             .select(F.col("column").alias("feature"), "n_missing_train", "n_missing_test", "mean", "std",
                     "min", "max"))
