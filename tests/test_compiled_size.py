@@ -2,10 +2,12 @@
 import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import audit, features
+from plumbline.operators import audit, features, twin
+from plumbline.operators.gram import exponents
 from plumbline.roles import Roles
 
 COMPILED = 8000  # bytes of a method beyond which the JVM leaves it interpreted
@@ -34,6 +36,20 @@ def test_engineered_features_stay_in_compiled_methods(spark, plain_plans):
     assert max([int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)], default=0) <= COMPILED
 
 
+def test_verdicts_stay_in_compiled_methods(spark, plain_plans):
+    roles = Roles()
+    powers = exponents(len(roles.settings), 4)
+    weights = {s: np.random.default_rng(i).normal(size=len(powers) + 1) for i, s in enumerate(roles.sensors)}
+    model = twin.Twin(roles.settings, {c: (3.0, 7.0 / 3) for c in roles.settings}, powers, weights)
+    rows = measurements(spark).withColumns({"label": F.lit("Valid"), "voltage": F.when(F.col("test_id") != 9, F.col("voltage"))})
+    df = twin.gap(twin.predict_validity(rows, model, 1.0, roles), roles)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    assert max([int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)], default=0) <= COMPILED
+    one, two = ({r[0]: r[1:] for r in x.select("test_id", *[f"e_{s}" for s in weights]).collect()}
+                for x in (model.expect(rows, "e_"), model.expect_in_batches(rows, "e_")))
+    assert one == two and one[9] == (None, None, None) and None not in one[8]
+
+
 def test_row_statistics_skip_nulls(spark):
     rows = spark.createDataFrame([(1, 1.0, None, 4.0, 3.0), (2, None, None, None, None), (3, float("nan"), 2.0, None, 1.0)],
                                  "test_id long, s1 double, s2 double, s3 double, s4 double")
