@@ -183,12 +183,13 @@ def hashed_group_folds(spark, sf_dir):
 @query("SELECT label, count(*) AS n, 5::BIGINT AS folds, 0::BIGINT AS straddling_groups, true AS within_one_group FROM bench GROUP BY label")
 def stratified_group_folds(spark, sf_dir):
     """Every class is spread over the folds to within one group, and no group is split."""
-    from plumbline.operators.dedup import split_groups
+    from plumbline.operators.dedup import HASHED, hashed_key, split_groups
 
-    df = settled(folds.stratified_group_kfold(bench(spark, sf_dir), M, "label", 5), "folds")
-    largest = df.groupBy(*[F.round(c, 4) for c in M]).agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
+    df = settled(folds.stratified_group_kfold(bench(spark, sf_dir).select("test_id", *M, "label"), M, "label", 5).drop("test_id"), "folds")
+    vector = df.select(*[F.round(c, 4).alias(c) for c in M]).select(*hashed_key(M))
+    largest = vector.groupBy(*HASHED).agg(F.count("*").alias("n")).agg(F.max("n")).scalar()
     per = df.groupBy("label", "fold").agg(F.count("*").alias("n"))
-    leaks = split_groups(df, M, "fold", 4).agg(F.count("*")).scalar()
+    leaks = split_groups(df, M, "fold", 4, hashed=True).agg(F.count("*")).scalar()
     return per.groupBy("label").agg(F.sum("n").alias("n"), F.count("*").alias("folds"), leaks.alias("straddling_groups"),
                                     (F.max("n") - F.sum("n") / 5 <= largest).alias("_high"),
                                     (F.sum("n") / 5 - F.min("n") <= largest).alias("_low")).select(

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from plumbline.operators import folds, neighbours
+from plumbline.operators import dedup, folds, neighbours
 
 
 def lof(x, k):
@@ -67,6 +67,23 @@ def test_group_folds_are_whole_even_and_independent_of_partitions(spark):
         assert n.max() - n.min() <= 5
 
 
+def test_group_folds_write_hashes_in_place_of_vectors(spark, monkeypatch):
+    written, write = [], folds.settled
+    monkeypatch.setattr(folds, "settled", lambda df, purpose="table": written.append(df.columns) or write(df, purpose))
+    # one vector in half the rows, and vectors that differ only in which column is NULL
+    rows = [(i, 1.00001 + i * 1e-9, 2.0, "x" if i % 3 else "y") for i in range(3000)]
+    rows += [(3000 + i, *((float(i // 2), None) if i % 2 else (None, float(i // 2))), ["x", "y", None][i % 7 % 3]) for i in range(3000)]
+    done = folds.stratified_group_kfold(spark.createDataFrame(rows, GROUPS).repartition(5), ["a", "b"], "label").collect()
+    assert not [c for cols in written for c in cols if c in ("a", "b") or c.startswith("_r_")]
+    assert sorted(r.id for r in done) == list(range(6000))
+    assert len({r.fold for r in done if r.id < 3000}) == 1
+    assert max(abs(n - 600) for n in np.bincount([r.fold for r in done if r.id >= 3000 and r.id % 2], minlength=5) * 2) < 1500
+    found = dedup.split_groups(spark.createDataFrame(done), ["a", "b"], "fold", hashed=True)
+    assert found.isEmpty()
+    halves = spark.createDataFrame(done).withColumn("fold", F.when(F.col("id") < 3002, F.col("id") % 2).otherwise(F.col("fold")))
+    assert dedup.split_groups(halves, ["a", "b"], "fold", hashed=True).select("n", "first_fold", "last_fold").collect() == [(3000, 0, 1)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.tuples(st.integers(0, 6), st.integers(0, 6)).filter(any), st.integers(1, 40), min_size=1, max_size=12))
 def test_dealing_keeps_every_class_within_one_group(found):
