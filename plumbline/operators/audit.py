@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators.ordered import quantile_values, quantiles
 
@@ -96,15 +97,87 @@ def missing(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str]
     return out.withColumn("pct_missing", share).drop("_n")
 
 
+CELLS_HELD = 1 << 19  # values of a column that a task holds before it sends the distinct ones on
+BUCKETS = 1024  # in which the values of a column are counted
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False,
                     log2_size: int = 14) -> DataFrame:
-    """Distinct non-null values per column; ``approx`` uses a sketch and needs no shuffle of values."""
+    """Distinct non-null values per column; ``approx`` uses a sketch and needs no shuffle of values.
+
+    Numbers with a fraction travel in packed blocks of distinct values, the others as Spark's own aggregate has them.
+    """
+    cols = list(cols or df.columns)
+
     def count(c: str) -> Column:
         if not approx:
             return F.count_distinct(c)
         return F.hll_sketch_estimate(F.hll_sketch_agg(F.when(F.col(c).isNotNull(), F.xxhash64(c)), log2_size))
 
-    return per_column(df, cols or df.columns, {"n_distinct": count})
+    packed = [] if approx else [c for c in cols if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))]
+    if not packed:
+        return per_column(df, cols, {"n_distinct": count})
+    blocks = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(packed)]).mapInArrow(
+        _distinct_blocks, "_c int, _bucket int, _values binary")
+    found = blocks.repartition("_c", "_bucket").sortWithinPartitions("_c", "_bucket").mapInArrow(_count_blocks, "_c int, _n long")
+    whole = found.agg(*[F.coalesce(F.sum(F.when(F.col("_c") == i, F.col("_n"))), F.lit(0)).alias(f"_n{i}") for i in range(len(packed))])
+    others = [c for c in cols if c not in packed]
+    if others:
+        whole = whole.crossJoin(df.agg(*[count(c).alias(f"_o{i}") for i, c in enumerate(others)]))
+    at = {**{c: f"_n{i}" for i, c in enumerate(packed)}, **{c: f"_o{i}" for i, c in enumerate(others)}}
+    return whole.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(at[c]).alias("n_distinct")) for c in cols])))
+
+
+def _distinct_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct values of each column of a task's rows, a block a bucket of their bits; NaN equals NaN and -0.0 equals 0.0."""
+    held: dict[int, list[np.ndarray]] = {}
+    size: dict[int, int] = {}
+
+    def sent(i: int, values: np.ndarray) -> pa.RecordBatch:
+        bucket = ((values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(BUCKETS)
+        order = np.argsort(bucket, kind="stable")
+        values, bucket = values[order], bucket[order]
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(starts), i, np.int32)), pa.array(bucket[starts].astype(np.int32)),
+             pa.array([v.tobytes() for v in np.split(values, starts[1:])], pa.binary())], ["_c", "_bucket", "_values"])
+
+    for batch in batches:
+        for i, column in enumerate(batch.columns):
+            v = column.drop_null().to_numpy(zero_copy_only=False) + 0.0
+            v[np.isnan(v)] = np.nan  # one pattern of bits
+            held.setdefault(i, []).append(v)
+            size[i] = size.get(i, 0) + len(v)
+            if size[i] > CELLS_HELD:
+                values = np.unique(np.concatenate(held[i]))
+                if len(values) > CELLS_HELD // 2:
+                    yield sent(i, values)
+                    values = values[:0]
+                held[i], size[i] = [values], len(values)
+    for i, parts in held.items():
+        values = np.unique(np.concatenate(parts))
+        if len(values):
+            yield sent(i, values)
+
+
+def _count_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct values of each bucket, whose blocks follow each other."""
+    counts: dict[int, int] = {}
+    last, parts = None, []
+
+    def close() -> None:
+        if parts:
+            counts[last[0]] = counts.get(last[0], 0) + len(np.unique(np.concatenate(parts)))
+
+    for batch in batches:
+        for i, (c, bucket) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            if (c, bucket) != last:
+                close()
+                last, parts = (c, bucket), []
+            parts.append(np.frombuffer(batch.column(2)[i].as_py(), np.float64))
+    close()
+    if counts:
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], ["_c", "_n"])
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

@@ -100,3 +100,20 @@ def test_spline_basis_sums_to_one(spark):
     assert len(names) == 7
     sums = out.select(sum((F.col(c) for c in names[1:]), F.col(names[0])).alias("s")).toPandas().s
     assert np.allclose(sums, 1.0, atol=1e-9)
+
+
+def test_distinct_counts_travel_in_packed_blocks(spark, monkeypatch):
+    rows = spark.range(5000).select(
+        (F.col("id") % 1237 / 7).alias("a"), F.when(F.col("id") % 5 > 0, F.sqrt(F.col("id").cast("double"))).alias("b"),
+        F.expr("CASE id % 4 WHEN 0 THEN DOUBLE('NaN') WHEN 1 THEN -0D WHEN 2 THEN 0D END").alias("c"), F.lit(None).cast("double").alias("d"),
+        (F.col("id") % 3).cast("string").alias("e"), (F.col("id") % 9).cast("float").alias("f")).repartition(6)
+    cols = list("abcdef")
+    want = rows.agg(*[F.count_distinct(c).alias(c) for c in cols]).first().asDict()
+    found = audit.distinct_counts(rows, cols)
+    assert [tuple(r) for r in found.collect()] == [(c, want[c]) for c in cols] and want["c"] == 2
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan  # which makes a wide row of every cell
+    monkeypatch.setattr(audit, "CELLS_HELD", 100)
+    blocks = list(audit._distinct_blocks(rows.select("a", "b").coalesce(1).toArrow().to_batches(max_chunksize=64)))
+    assert len(blocks) > 4
+    assert audit.distinct_counts(rows.limit(0), ["a"]).collect() == [("a", 0)]
